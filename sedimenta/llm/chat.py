@@ -67,14 +67,14 @@ def format_chat(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY_B
     ``n_repeated`` leading turns of the text are repeats; ``targets`` are the
     (start, length) of what the loss covers, in code points of the text.
     """
-    size = F.ceil((F.length("text") + F.length("role") + 2) / CHARS_PER_TOKEN).cast("long")
+    head, body = F.concat(F.lit("<turn "), escape(F.col("role")), F.lit(">")), escape(F.col("text"))
+    size = F.ceil((F.length(head) + F.length(body) + len("</turn>\n")) / CHARS_PER_TOKEN).cast("long")
     rows = turns.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.select(
         "conv_id",
         F.struct(
             "turn", "role", size.alias("size"),
-            F.concat(F.lit("<turn "), escape(F.col("role")), F.lit(">")).alias("head"),
-            escape(F.col("text")).alias("body"),
+            head.alias("head"), body.alias("body"),
         ).alias("t"),
     )
     convs = rows.groupBy("conv_id").agg(F.array_sort(F.collect_list("t")).alias("t"))

@@ -62,20 +62,25 @@ def window_hits(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW) -> DataF
         cut = words.select("doc_id", "text_key", "w", F.explode_outer(places).alias("pos"))
         is_own = (F.col("pos") == n_windows) if length == n else F.lit(False)
         hashed = F.xxhash64(*gram(F.col("w"), F.col("pos"), length))
-        cut = cut.withColumn("h", F.when(is_own, F.lit(OWN_ROW)).otherwise(hashed)).withColumn("n_words", F.size("w").cast("long"))
+        own_gram = F.concat_ws(" ", *gram(F.col("w"), F.col("pos"), length))
+        cut = cut.select(
+            "doc_id", "text_key", "w", "pos",
+            F.size("w").cast("long").alias("n_words"),
+            is_own.alias("is_own"),
+            F.when(is_own, F.lit(OWN_ROW)).otherwise(hashed).alias("h"),
+        )
         probe = probe.withColumnRenamed("h", "probe_h")
-        verified = F.when(is_own, F.col("gram").isNull() & (F.col("h") == OWN_ROW)).otherwise(
-            F.coalesce(F.concat_ws(" ", *gram(F.col("w"), F.col("pos"), length)) == F.col("gram"), F.lit(False))
-        )
-        hits = (
-            cut.join(F.broadcast(probe) if small else probe, F.col("h") == F.col("probe_h"))
-            .where(verified)
-            .select(
-                "doc_id", "text_key", "n_words",
-                F.when(~is_own, F.struct(F.col("pos").alias("s"), (F.col("pos") + length).alias("e"))).alias("span"),
-                "item_id",
-                F.when(is_own, 1).alias("own"),
-            )
+        if small:  # the words of a place are put together only where the hash hits
+            joined = cut.join(F.broadcast(probe), F.col("h") == F.col("probe_h"))
+        else:  # a shuffled row must not carry its whole text
+            joined = cut.withColumn("own_gram", own_gram).drop("w").join(probe, F.col("h") == F.col("probe_h"))
+            own_gram = F.col("own_gram")
+        verified = F.when(F.col("is_own"), F.col("gram").isNull() & (F.col("h") == OWN_ROW)).otherwise(F.coalesce(own_gram == F.col("gram"), F.lit(False)))
+        hits = joined.where(verified).select(
+            "doc_id", "text_key", "n_words",
+            F.when(~F.col("is_own"), F.struct(F.col("pos").alias("s"), (F.col("pos") + length).alias("e"))).alias("span"),
+            "item_id",
+            F.when(F.col("is_own"), 1).alias("own"),
         )
         found = hits if found is None else found.unionByName(hits)
     return (

@@ -142,9 +142,8 @@ WITH RECURSIVE raw AS (
 ),
 t AS (
   SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS k,
-         ceil((length(text) + length(role) + 2) / 4.0)::BIGINT AS size,
          length(role) + length(regexp_replace(role, '[^\\<>]', '', 'g')) + length(text) + length(regexp_replace(text, '[^\\<>]', '', 'g'))
-           + length('<turn >') + length('</turn>') + 1 AS chars
+           + length('<turn >') + length('</turn>') + 1 AS chars, ceil(chars / 4.0)::BIGINT AS size
   FROM raw
 ),
 p AS (SELECT *, sum(size) OVER (PARTITION BY conv_id ORDER BY k)::BIGINT AS upto FROM t),
