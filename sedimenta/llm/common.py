@@ -8,7 +8,7 @@ from __future__ import annotations
 import tempfile
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Blanks between plain words, and everything that is not part of a token
@@ -91,16 +91,18 @@ def covered(starts_ends: Column) -> Column:
     )
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the checkpoint folder that all executors share.
-
-    The folder is the session's ``spark.checkpoint.dir``; a folder of our own
-    is set only where that is unset (a single machine, as in tests).
-    """
-    context = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The session's ``spark.checkpoint.dir``; a folder of our own is set only
+    where that is unset (a single machine, as in tests)."""
+    context = spark.sparkContext
     if not context.getCheckpointDir():
-        shared = context.getConf().get("spark.checkpoint.dir")
-        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="sedimenta-"))
+        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="sedimenta-"))
+    return context.getCheckpointDir()
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` in the checkpoint folder that all executors share."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
