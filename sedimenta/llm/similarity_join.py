@@ -23,7 +23,9 @@ joined into classes by label propagation with pointer jumps, in checkpoints.
 
 Defined cases: a text of fewer words than a shingle is one shingle of all its
 words; a text without words (null, empty) has no links and is a class of its
-own; rows that repeat each get a row; copies share class and links.
+own; rows that repeat each get a row; copies share class and links; of several
+texts under one key, the one of least hash is joined and the others are
+classes of that key; rows without a key take no part and get no row.
 """
 
 from __future__ import annotations
@@ -106,7 +108,7 @@ def sketch(found: np.ndarray) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, key: str = "doc_id") -> DataFrame:
-    """(id, digest, n, sketch) per row; digest null without words."""
+    """(id, text_key, digest, n, sketch) per row; digest null without words."""
 
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = _Hashes()
@@ -117,10 +119,10 @@ def sketches(docs: DataFrame, key: str = "doc_id") -> DataFrame:
                     s = shingles(text, known)
                     rows.append((xxhash.xxh3_128_digest(s.tobytes()), len(s), sketch(s)) if len(s) else (None, 0, None))
                 digest, n, sk = zip(*rows, strict=True)
-                yield pd.DataFrame({"id": part["id"].to_numpy(), "digest": digest, "n": n, "sketch": sk})
+                yield pd.DataFrame({"id": part["id"].to_numpy(), "text_key": part["text_key"].to_numpy(), "digest": digest, "n": n, "sketch": sk})
 
     kind = docs.schema[key].dataType.simpleString()
-    return docs.where(F.col(key).isNotNull()).select(F.col(key).alias("id"), "text").mapInPandas(of, f"id {kind}, digest binary, n int, sketch array<int>")
+    return docs.where(F.col(key).isNotNull()).select(F.col(key).alias("id"), F.xxhash64("text").alias("text_key"), "text").mapInPandas(of, f"id {kind}, text_key long, digest binary, n int, sketch array<int>")
 
 
 def split_buckets(reps: DataFrame) -> DataFrame:
@@ -316,11 +318,13 @@ def join_texts(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     sets) and n_links (other sets linked), for each row."""
     kind = docs.schema[key].dataType.simpleString()
     rows = durable(sketches(docs, key))
-    reps = durable(
+    reps = (
         rows.where(F.col("digest").isNotNull())
         .groupBy("digest")
-        .agg(F.min("id").alias("id"), F.first("n").alias("size"), F.first("sketch").alias("sketch"))
+        .agg(F.min(F.struct("id", "text_key")).alias("of"), F.first("n").alias("size"), F.first("sketch").alias("sketch"))
     )
+    reps = reps.groupBy("of.id").agg(F.min_by(F.struct("of.text_key", "digest", "size", "sketch"), F.struct("of.text_key", "digest")).alias("r"))
+    reps = durable(reps.select("id", "r.*"))
     leaves = durable(split_buckets(reps))
     lists = leaves.groupBy("id").agg(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("n"), "leaf"))).alias("all"))
     cells = in_blocks(leaves).join(lists, "id").join(reps.select("id", "size", "sketch"), "id")
@@ -328,10 +332,8 @@ def join_texts(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     cells = cells.select("cell", "block", "id", "size", "sketch", F.transform(earlier, lambda x: x["leaf"]).alias("before"))
     found = cells.repartition("cell").sortWithinPartitions("cell").mapInPandas(partners_by_sketch, f"cell long, id {kind}, partners array<{kind}>")
     found = durable(found)
-    named = docs.select(F.col(key).alias("id"), "text").join(reps.join(found, "id", "left_semi").select("id", "digest"), "id")
-    # Rows may repeat a key with other texts: the representative's is the one of its digest.
-    if docs.select(F.count(key), F.count_distinct(key)).first()[0] != docs.select(F.count_distinct(key)).first()[0]:
-        named = named.dropDuplicates(["id"])
+    wanted = reps.join(found, "id", "left_semi").select("id", "text_key")
+    named = docs.select(F.col(key).alias("id"), F.xxhash64("text").alias("text_key"), "text").join(wanted, ["id", "text_key"]).dropDuplicates(["id"])
     texts = found.join(named.select("id", "text"), "id").select("cell", "id", "partners", "text")
     links = durable(texts.repartition("cell").sortWithinPartitions("cell").mapInPandas(verified_links, f"id {kind}, links long, root {kind}"))
     roots = components(links.select(F.col("id").alias("a"), F.col("root").alias("b")))
@@ -347,6 +349,13 @@ def join_texts(docs: DataFrame, key: str = "doc_id") -> DataFrame:
 
 
 def one_of_each_class(docs: DataFrame, key: str = "doc_id") -> DataFrame:
-    """``docs`` without the members of a class other than its least key."""
-    out = join_texts(docs, key).where(F.col(key) != F.col("class_id")).select(F.col(key).alias("_drop")).distinct()
-    return docs.join(out, docs[key] == out["_drop"], "left_anti")
+    """``docs`` without the members of a class other than its least key, and
+    without repeats of a key; rows without a key stay."""
+    classes = durable(join_texts(docs, key).groupBy(key).agg(F.count("*").alias("rows"), F.min("class_id").alias("class_id")))
+    out = classes.where(F.col(key) != F.col("class_id")).select(F.col(key).alias("_drop"))
+    kept = docs.join(out, docs[key] == out["_drop"], "left_anti")
+    repeats = classes.where((F.col("rows") > 1) & (F.col(key) == F.col("class_id"))).select(F.col(key).alias("_again"))
+    if repeats.isEmpty():
+        return kept
+    again = kept[key] == repeats["_again"]
+    return kept.join(repeats, again, "left_anti").unionByName(kept.join(repeats, again, "left_semi").dropDuplicates([key]))
