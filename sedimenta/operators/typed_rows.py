@@ -31,14 +31,16 @@ def typed_rows(atoms: DataFrame, table: Table, now: int | None = None) -> DataFr
     require_exportable(table)
     n = len(table.clustering)
     clock = F.unix_timestamp() if now is None else F.lit(now)
-    refused = F.when(F.col("kind") == RANGE, F.raise_error(F.lit("range tombstones cannot be exported")).cast("boolean")).otherwise(F.lit(True))
     alive = (F.col("kind") != "d") & ~((F.col("kind") == "e") & (F.col("local_deletion_time") <= clock))
+    # One expression, so that no other test can be evaluated before the refusal.
+    refusal = F.raise_error(F.lit("range tombstones cannot be exported")).cast("boolean")
+    wanted = F.when(F.col("kind") == RANGE, refusal).otherwise(F.col("kind").isin(*CELLS) & alive)
     source = F.coalesce("source_path", F.lit("")).alias("_source")
     parts = composite_parts(F.col("name"), n + 1)
     shift = composite_parts(F.expr("substring(name, 3)"), n + 1)
     # A static cell's name starts with a mark before empty clustering parts.
     marked = F.expr("hex(substring(name, 1, 2)) = 'FFFF'")
-    named = atoms.where(refused).where(F.col("kind").isin(*CELLS) & alive).select(
+    named = atoms.where(wanted).select(
         "row_key", source, "ts", "value",
         marked.alias("_static"), F.when(marked, shift).otherwise(parts).alias("_p"),
     )
