@@ -109,7 +109,8 @@ class Scorer:
         return k
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        counts = Counter(_LETTERS.findall(text.lower())) if text and self.model.langs else None
+        spoken = text and self.model.langs and any(map(str.isalpha, text))
+        counts = Counter(_LETTERS.findall(text.lower())) if spoken else None
         if not counts:
             return "und", 0.0
         if len(self.place) + len(counts) > CACHE:

@@ -4,12 +4,13 @@ Each source's target share of the mix sets the expected copies of its
 documents.  Within a source documents stand in an order that does not depend
 on the run, expected copies are summed along it, one offset is added, and a
 document is emitted once per integer that its part of the sum crosses.  The
-order puts like sizes next to each other, so the words taken stay close to
-the target.
+order puts like sizes next to each other (size classes of a quarter octave),
+so the words taken stay close to the target.
 
-The sum is split: a source's documents are dealt by a hash of their id into
-blocks, sums inside a block and sums of whole blocks are separate windows, so
-a source that holds a third of all rows is many blocks, not one task.
+The sum is split: the documents of a source and size class are dealt by a hash
+of their id into blocks, sums inside a block and sums of whole blocks are
+separate windows, so a source that holds a third of all rows is many blocks,
+not one task.
 
 Defined cases: null source is a source of its own, last in order; a null text
 has no words; documents of no words are taken at their source's rate and add
@@ -27,9 +28,8 @@ from .common import durable, plain_words
 WEIGHTS = (5, 2, 1)
 SHARE_PERCENT = 150
 MAX_REPEATS = 2
-#: Rows of a block, about; a source has 16 blocks at least.
-BLOCK_ROWS = 2000
-MIN_BLOCKS = 16
+#: Rows of a block, about.
+BLOCK_ROWS = 500
 
 
 def _hash32(*parts):
@@ -37,6 +37,12 @@ def _hash32(*parts):
     return F.conv(F.substring(F.md5(F.concat(*parts)), 1, 8), 16, 10).cast("long")
 
 
+def size_class(size):
+    """Number of binary digits, and the two after the first."""
+    digits = F.bin(size)
+    return F.concat(F.lpad(F.length(digits).cast("string"), 2, "0"), F.substring(digits, 2, 2))
+
+
 def source_targets(sizes: DataFrame) -> DataFrame:
     """(skey, source_size, docs, target): one row per source.
 
@@ -73,24 +79,27 @@ def mix(docs: DataFrame, seed: int = 17) -> DataFrame:
     )
     sizes = durable(sizes)  # texts are read once
     targets = source_targets(sizes)
+    classes = sizes.groupBy("skey", size_class(F.col("size")).alias("class")).agg(F.count("*").alias("rows"))
     doc_name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     placed = (
         sizes.join(targets, "skey")
-        .withColumn("blocks", F.greatest(F.lit(MIN_BLOCKS), F.ceil(F.col("docs") / BLOCK_ROWS)))
-        .withColumn("block", F.pmod(_hash32(doc_name, F.lit(f"/{seed}")), F.col("blocks")))
+        .withColumn("class", size_class(F.col("size")))
+        .join(classes, ["skey", "class"])
+        .withColumn("block", F.pmod(_hash32(doc_name, F.lit(f"/{seed}")), F.ceil(F.col("rows") / BLOCK_ROWS)))
+        .drop("rows")
     )
-    along = Window.partitionBy("skey", "block").orderBy("size", "doc_id", "text_key")
+    along = Window.partitionBy("skey", "class", "block").orderBy("size", "doc_id", "text_key")
     ranked = placed.withColumn("rank", F.row_number().over(along))
-    blocks = placed.groupBy("skey", "block").agg(F.count("*").alias("rows"))
-    before = Window.partitionBy("skey").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.select("skey", "block", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("before"))
+    blocks = placed.groupBy("skey", "class", "block").agg(F.count("*").alias("rows"))
+    before = Window.partitionBy("skey").orderBy("class", "block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select("skey", "class", "block", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("before"))
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     offset = _hash32(F.col("skey"), F.lit(f"#{seed}")) / F.lit(4294967296.0)
     # Documents of one source are alike in expected copies, so the sum up to
     # the k-th is k times the rate, free of the drift of added fractions.
     upto = lambda k: F.floor(offset + rate * k)
     place = F.col("before") + F.col("rank")
-    return ranked.join(blocks, ["skey", "block"]).select(
+    return ranked.join(blocks, ["skey", "class", "block"]).select(
         "doc_id", "text_key", "size", "source_size", "target", (upto(place) - upto(place - 1)).alias("copies")
     )
 

@@ -158,7 +158,7 @@ def test_mixing(any_docs):
         assert 0 <= r["copies"] <= 2
     if any_docs.count() > 100:
         for key, target in total.items():
-            assert abs(taken[key] - target) <= max(0.2 * target, 3 * largest[key])
+            assert abs(taken[key] - target) <= max(0.05 * target, largest[key])
     rows = mixing.mixed_documents(any_docs)
     assert rows.columns == [*any_docs.columns, "copy"]
     assert rows.count() == sum(r["copies"] for r in got)
