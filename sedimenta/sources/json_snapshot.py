@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.bind import let
 from ..functions.decode import legacy_name, render, too_large_message
 
 LINE = "map<string,struct<deletedAt:bigint,columns:array<array<string>>>>"
@@ -50,9 +51,10 @@ def as_loaded(rows: DataFrame) -> DataFrame:
 
     Asking for some of these columns builds only those.
     """
-    entries = F.transform("columns", lambda c: F.struct(c["name"].alias("key"), c.alias("value")))
-    last = F.filter(entries, lambda e, i: ~F.exists(F.slice(entries, i + 2, F.greatest(F.size(entries) - i - 1, F.lit(0))), lambda later: later["key"] == e["key"]))
-    named = F.filter(last, lambda e: e["key"].isNotNull())
+    placed = F.array_sort(F.transform("columns", lambda c, i: F.struct(c["name"].alias("key"), i.alias("i"), c.alias("value"))))
+    # In order of name and place, a name's last cell is followed by another name.
+    last = let(placed, lambda p: F.filter(p, lambda e, i: e["key"].isNotNull() & ~F.coalesce(F.get(p, i + 1)["key"] == e["key"], F.lit(False))))
+    named = F.transform(last, lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value")))
     return rows.select("key", "deletedat", F.map_from_entries(named).alias("map_columns"), F.col("columns").alias("bag_columns"))
 
 
