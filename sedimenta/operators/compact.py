@@ -46,10 +46,6 @@ def row_deletes(atoms: DataFrame) -> DataFrame:
     return atoms.groupBy(*KEY).agg(F.coalesce(F.greatest(F.max("row_deleted_at"), floor), floor).alias("deleted_at"))
 
 
-def newest(*order: str) -> Column:
-    return F.struct(*order)
-
-
 def newest_cells(atoms: DataFrame) -> DataFrame:
     """The winning cell of each (row_key, source_path, name)."""
     cells = atoms.where(F.col("kind").isin(*CELLS))
@@ -131,12 +127,43 @@ def collect_rows(alive: DataFrame, deletes: DataFrame, order: Column | None = No
 
 def compact(atoms: DataFrame, options: Options = Options(), order: Column | None = None) -> DataFrame:
     """One ROW per (row_key, source_path).  ``order`` is an expression of
-    ``name`` to sort a row's cells by, the bytes of the name by default."""
+    ``name`` to sort a row's cells by, the bytes of the name by default.
+
+    Atoms are read once: the first aggregate leaves the newest cell of a name,
+    the newest of equal range tombstones and the row marker, the second brings
+    a row's together, and deletes are applied inside the row.  For rows too
+    wide to stand in one place, :func:`cells` does the same by joins.
+    """
     atoms = prepared(atoms, options)
-    deletes = row_deletes(atoms)
-    alive = without_range_deleted(newest_cells(atoms), atoms)
-    alive = alive.join(deletes, KEY).where(F.col("ts") > F.col("deleted_at"))
-    return collect_rows(alive, deletes, order)
+    what = F.when(F.col("kind").isin(*CELLS), 0).when(F.col("kind") == RANGE, 1).otherwise(2)
+    atoms = atoms.select(
+        *KEY, "row_deleted_at", what.alias("what"),
+        F.when(what < 2, F.col("name")).alias("name"),
+        F.when(what == 1, F.col("range_max")).alias("range_max"),
+        *[F.col(c) for c in ("ts", "kind", "value", "ttl", "local_deletion_time", "ts_last_delete", "size")],
+    )
+    best = F.max(F.struct("ts", "kind", "value", "ttl", "local_deletion_time", "ts_last_delete", "size")).alias("b")
+    winners = atoms.groupBy(*KEY, "what", "name", "range_max").agg(best, F.max("row_deleted_at").alias("deleted_at"))
+    cell = F.struct(
+        (F.col("name") if order is None else order).alias("o"),
+        "name", "b.ts",
+        F.struct(
+            "name", "b.value", "b.ts",
+            F.when(F.col("b.kind") != "live", F.col("b.kind")).alias("status"),
+            F.col("b.ttl").cast("long").alias("ttl"),
+            F.col("b.local_deletion_time").cast("long").alias("local_deletion_time"),
+            "b.ts_last_delete", "b.size",
+        ).alias("c"),
+    )
+    floor = F.lit(NOT_DELETED)
+    rows = winners.groupBy(*KEY).agg(
+        F.coalesce(F.greatest(F.max("deleted_at"), floor), floor).alias("deleted_at"),
+        F.collect_list(F.when(F.col("what") == 0, cell)).alias("cells"),
+        F.collect_list(F.when(F.col("what") == 1, F.struct(F.col("name").alias("low"), F.col("range_max").alias("high"), "b.ts"))).alias("ranges"),
+    )
+    covered = lambda x: F.exists("ranges", lambda r: (r["ts"] >= x["ts"]) & (r["low"] <= x["name"]) & (x["name"] <= r["high"]))
+    alive = F.filter("cells", lambda x: (x["ts"] > F.col("deleted_at")) & ~covered(x))
+    return rows.select(*KEY, "deleted_at", F.transform(F.array_sort(alive), lambda x: x["c"]).alias("columns"))
 
 
 def counters(atoms: DataFrame, options: Options = Options()) -> DataFrame:

@@ -76,7 +76,7 @@ SQL = {
         SELECT *, list_transform([1, 3, 5, 7], lambda i: ((('0x' || substr(md5(c_name), i, 2))::INTEGER + 128) % 256)) AS k FROM customer)""",
     "q21_latest_batch": "SELECT max('/in/batch_id=' || strftime(ts, '%Y%m%d')) AS path FROM events",
     "q22_secondary_index_filter": "SELECT page_id, url AS path FROM pages WHERE len(list_last(string_split(url, '/'))) - len(replace(list_last(string_split(url, '/')), '.', '')) <= 1",
-    "q23_distinct_globs": "SELECT DISTINCT regexp_replace(url, '/[^/]*$', '') || '/*-Data.db' AS glob FROM pages",
+    "q23_distinct_globs": "SELECT DISTINCT regexp_replace(url, '/[^/]*$', '') || '/*-Data.db' AS pattern FROM pages",
     "q24_counters": f"""{_SIZED}
         SELECT count(*) AS rows_written, sum(big)::BIGINT AS rows_too_big, 0::BIGINT AS inputs_in_error FROM (SELECT user_id, max((upto > 1500)::INTEGER) AS big FROM run GROUP BY 1)""",
     "q25_version_homogeneity": "SELECT source, count(DISTINCT lang) AS versions FROM documents GROUP BY 1",

@@ -51,8 +51,8 @@ def without_secondary_indexes(files: DataFrame) -> DataFrame:
 
 
 def input_globs(files: DataFrame) -> DataFrame:
-    """Distinct ``folder/*-Data.db``."""
-    return files.select(P.data_glob(F.col("path")).alias("glob")).distinct()
+    """Distinct ``pattern``s ``folder/*-Data.db``."""
+    return files.select(P.data_glob(F.col("path")).alias("pattern")).distinct()
 
 
 def partition_info(files: DataFrame) -> DataFrame:
