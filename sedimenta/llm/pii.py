@@ -148,13 +148,12 @@ def _of_rank(rank: int):
     return lambda x: x["r"] == rank
 
 
-def annotate(docs: DataFrame, *keep: str) -> DataFrame:
-    """``keep`` columns, ``_base`` (array of (s, kind rank, e)), ``_cands`` and
-    ``_half``, in the shared folder: texts are read once."""
+def annotated(docs: DataFrame, *keep: str) -> DataFrame:
+    """``keep`` columns, ``_base`` (array of (s, kind rank, e)), ``_cands`` and ``_half``."""
     text = F.coalesce("text", F.lit(""))
     found = docs.select(*keep, F.pmod(F.xxhash64("text"), F.lit(2)).alias("_half"), *[spans.alias(f"_{kind}") for kind, spans in base_spans(text).items()], candidates(text).alias("_cands"))
     ranked = [F.transform(f"_{kind}", _ranked(rank)) for rank, kind in enumerate(BASE)]
-    return durable(found.select(*keep, "_half", F.array_sort(F.concat(*ranked)).alias("_base"), "_cands"))
+    return found.select(*keep, "_half", F.array_sort(F.concat(*ranked)).alias("_base"), "_cands")
 
 
 def _held(base: Column, x: Column) -> Column:
@@ -180,9 +179,9 @@ class Trees:
         return total
 
 
-def fit(annotated: DataFrame, rounds: int = 20, rate: float = 0.4, precision: float = 0.98) -> Trees | None:
+def fit(rows: DataFrame, rounds: int = 20, rate: float = 0.4, precision: float = 0.98) -> Trees | None:
     """Boosted trees on the cells of one half, threshold from the other."""
-    rows = annotated.select("_half", "_base", F.explode("_cands").alias("c"))
+    rows = rows.select("_half", "_base", F.explode_outer("_cands").alias("c")).where(F.col("c").isNotNull())
     rows = rows.select("_half", F.col("c.f").alias("f"), (F.col("c.named") | _held(F.col("_base"), F.col("c"))).cast("int").alias("y"))
     cells = rows.groupBy("_half", *[F.col(f"f.{n}").alias(n) for n in FEATURES]).agg(F.count("*").alias("n"), F.sum("y").alias("p")).collect()
     cells.sort(key=lambda r: tuple(r[n] for n in ("_half", *FEATURES)))
@@ -265,10 +264,17 @@ def all_spans(base: Column, cands: Column, model: Trees | None) -> Column:
 
 
 def detect(docs: DataFrame, *keep: str) -> DataFrame:
-    """``keep`` columns with ``base`` and ``spans`` (arrays of (s, r, e))."""
-    annotated = annotate(docs, *keep)
-    model = fit(annotated)
-    return annotated.select(*keep, F.col("_base").alias("base"), all_spans(F.col("_base"), F.col("_cands"), model).alias("spans"))
+    """``keep`` columns with ``base`` and ``spans`` (arrays of (s, r, e)).
+
+    What is found is kept in the shared folder between the fit and the scores;
+    if ``text`` is to be kept, texts are read twice rather than stored again.
+    """
+    if "text" in keep:
+        model, rows = fit(annotated(docs)), annotated(docs, *keep)
+    else:
+        rows = durable(annotated(docs, *keep))
+        model = fit(rows)
+    return rows.select(*keep, F.col("_base").alias("base"), all_spans(F.col("_base"), F.col("_cands"), model).alias("spans"))
 
 
 def written(spans: Column) -> Column:
