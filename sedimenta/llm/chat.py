@@ -19,7 +19,7 @@ A conversation is one row, as its digest is of its whole text.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import let
@@ -70,18 +70,13 @@ def format_chat(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY_B
     head, body = F.concat(F.lit("<turn "), escape(F.col("role")), F.lit(">")), escape(F.col("text"))
     size = F.ceil((F.length(head) + F.length(body) + len("</turn>\n")) / CHARS_PER_TOKEN).cast("long")
     rows = turns.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = rows.select(
-        "conv_id",
-        F.struct(
-            "turn", "role", size.alias("size"),
-            head.alias("head"), body.alias("body"),
-        ).alias("t"),
-    )
+    rows = rows.select("conv_id", "turn", "role", size.alias("size"), head.alias("head"), body.alias("body"))
+    order = ("turn", "role", "size", "head", "body")
+    upto = F.sum("size").over(Window.partitionBy("conv_id").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    rows = rows.select("conv_id", F.struct(*order, upto.alias("upto")).alias("t"))
     convs = rows.groupBy("conv_id").agg(F.array_sort(F.collect_list("t")).alias("t"))
-    # Prefix sums of sizes; numbers only, so appending stays cheap.
-    upto = F.aggregate("t", F.array(_long(0)), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + x["size"])))
-    convs = convs.select("conv_id", "t", upto.alias("upto"))
-    numbers = F.transform("t", lambda x, i: F.struct(i.alias("i"), x["size"].alias("size"), F.get("upto", i + 1).alias("upto")))
+    convs = convs.select("conv_id", "t", F.concat(F.array(_long(0)), F.transform("t", lambda x: x["upto"])).alias("upto"))
+    numbers = F.transform("t", lambda x, i: F.struct(i.alias("i"), x["size"].alias("size"), x["upto"].alias("upto")))
     has_system = F.col("t")[0]["role"] == "system"
     system = F.when(has_system, F.col("t")[0]["size"]).otherwise(_long(0))
     convs = convs.select("conv_id", "t", "upto", F.when(has_system, 1).otherwise(0).alias("n_system"), window_starts(numbers, system, budget, history).alias("starts"))
