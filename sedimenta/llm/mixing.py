@@ -30,6 +30,8 @@ SHARE_PERCENT = 150
 MAX_REPEATS = 2
 #: Rows of a block, about.
 BLOCK_ROWS = 500
+#: Sources times size classes up to which their figures are broadcast (some 10 MB).
+MAX_BROADCAST_CLASSES = 100_000
 
 
 def _hash32(*parts):
@@ -78,8 +80,10 @@ def mix(docs: DataFrame, seed: int = 17) -> DataFrame:
         F.size(plain_words(F.col("text"))).cast("long").alias("size"),
     )
     sizes = durable(sizes)  # texts are read once
-    targets = source_targets(sizes)
-    classes = sizes.groupBy("skey", size_class(F.col("size")).alias("class")).agg(F.count("*").alias("rows"))
+    targets = durable(source_targets(sizes))
+    classes = durable(sizes.groupBy("skey", size_class(F.col("size")).alias("class")).agg(F.count("*").alias("rows")))
+    if classes.count() <= MAX_BROADCAST_CLASSES:  # there are more classes than sources
+        targets, classes = F.broadcast(targets), F.broadcast(classes)
     doc_name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     placed = (
         sizes.join(targets, "skey")
@@ -87,6 +91,8 @@ def mix(docs: DataFrame, seed: int = 17) -> DataFrame:
         .join(classes, ["skey", "class"])
         .withColumn("block", F.pmod(_hash32(doc_name, F.lit(f"/{seed}")), F.ceil(F.col("rows") / BLOCK_ROWS)))
         .drop("rows")
+        # Dealing by source alone would do for all that follows, but not for a source of a third of all rows.
+        .repartition("skey", "class", "block")
     )
     along = Window.partitionBy("skey", "class", "block").orderBy("size", "doc_id", "text_key")
     ranked = placed.withColumn("rank", F.row_number().over(along))
