@@ -1,8 +1,8 @@
 """Quality classifier with hierarchical empirical Bayes.
 
 A document's own evidence comes from a logistic model on format features,
-fitted on a bounded sample of labelled documents (``SAMPLE`` rows of least
-hash).  Hosts and, within them, paths have posteriors of their own: of all
+fitted on a bounded sample of labelled documents (about ``SAMPLE`` rows, those
+of least hash).  Hosts and, within them, paths have posteriors of their own: of all
 labelled documents, a host's share of good ones is shrunk to the global share
 by ``HOST_STRENGTH`` pseudo-documents, a path's to its host's by
 ``PATH_STRENGTH``.  The strengths are prior counts, so a sparse site says
@@ -91,7 +91,10 @@ def classify(docs: DataFrame, labels: DataFrame, host: str = "source", path: str
     share = (good + 1) / (n + 2) if n else 1.0
     if not n or good in (0, n):
         return rows.select("doc_id", *[F.lit(share).alias(c) for c in ("model_score", "host_share", "path_share", "score")], F.lit(True).alias("kept"))
-    sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").select("x", "y").limit(SAMPLE).collect()
+    chance = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) / 1_000_003.0
+    sample = known.where(chance < min(1.0, SAMPLE / n)).select("x", "y").collect()
+    if len({r["y"] for r in sample}) < 2:  # one class is too rare for the sample
+        sample = [r for y in (0, 1) for r in known.where(F.col("y") == y).select("x", "y").limit(SAMPLE // 2).collect()]
     beta = fit_logistic(np.array([r["x"] for r in sample]), np.array([r["y"] for r in sample], float))
     sites = known.groupBy("host", "path").agg(F.count("*").alias("n"), F.sum("y").alias("good"))
     hosts = sites.groupBy("host").agg(((F.sum("good") + HOST_STRENGTH * share) / (F.sum("n") + HOST_STRENGTH)).alias("host_share"))
