@@ -19,7 +19,8 @@ name; rows that repeat each get a row.
 from __future__ import annotations
 
 import re
-from collections import Counter, defaultdict
+from array import array
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,12 +28,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import durable
+
 DOCS_PER_LANG = 2000
 MAX_LANGS = 1000
-MAX_WORDS = 200_000
+MAX_WORDS = 60_000
 LONGEST = 4
 SMOOTH = 0.5
-CACHE = 400_000
+CACHE = 200_000
 WORD = r"\p{L}+"
 _LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -42,7 +45,7 @@ def held_out(doc_id: Column) -> Column:
 
 
 def word_counts(labelled: DataFrame, docs_per_lang: int = DOCS_PER_LANG, max_words: int = MAX_WORDS) -> list:
-    """(lang, word, n) of the bounded sample, the most frequent first."""
+    """(lang, word, n) of the bounded sample: the most frequent, at most ``max_words``."""
     labelled = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "lang", "text")
     sizes = labelled.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGS).collect()
     if not sizes:
@@ -51,8 +54,15 @@ def word_counts(labelled: DataFrame, docs_per_lang: int = DOCS_PER_LANG, max_wor
     chance = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) / 1_000_003.0
     sample = labelled.where(chance < F.coalesce(F.try_element_at(share, F.col("lang")), F.lit(0.0)))
     words = sample.select("lang", F.explode_outer(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0))).alias("word")).where(F.col("word").isNotNull())
-    counts = words.groupBy("lang", "word").agg(F.count("*").alias("n"))
-    return counts.orderBy(F.desc("n"), "lang", "word").limit(max_words).collect()
+    counts = durable(words.groupBy("lang", "word").agg(F.count("*").alias("n")))
+    # The least count from which on all words fit; a sort would send each task's share.
+    least, total = 1, 0
+    for r in sorted(counts.groupBy("n").agg(F.count("*").alias("words")).collect(), key=lambda r: -r["n"]):
+        total += r["words"]
+        if total > max_words:
+            least = r["n"] + 1
+            break
+    return sorted(counts.where(F.col("n") >= least).collect(), key=lambda r: (-r["n"], r["lang"], r["word"]))
 
 
 def grams_of(word: str, n: int) -> list[str]:
@@ -60,28 +70,34 @@ def grams_of(word: str, n: int) -> list[str]:
     return [padded[i : i + n] for i in range(len(padded) - n + 1)] if n > 1 else list(word)
 
 
+class _Table:
+    """Log frequencies by language: a place per item and one matrix of rows."""
+
+    def __init__(self, items: Iterator[tuple[str, int, int]], langs: int):
+        self.place: dict[str, int] = {}
+        rows, columns, counts = array("q"), array("q"), array("q")
+        for item, lang, n in items:
+            rows.append(self.place.setdefault(item, len(self.place)))
+            columns.append(lang)
+            counts.append(n)
+        table = np.full((len(self.place), langs), SMOOTH)
+        np.add.at(table, (np.frombuffer(rows, np.int64), np.frombuffer(columns, np.int64)), np.frombuffer(counts, np.int64))
+        self.logs = np.log(table / table.sum(axis=0)).astype(np.float32) if len(table) else table.astype(np.float32)
+
+    def get(self, item: str) -> np.ndarray | None:
+        k = self.place.get(item)
+        return None if k is None else self.logs[k]
+
+
 class Model:
     """Log frequencies of words and n-grams by language."""
 
     def __init__(self, counts: list):
         self.langs = sorted({r["lang"] for r in counts})
         at = {lang: k for k, lang in enumerate(self.langs)}
-        words: dict[str, np.ndarray] = defaultdict(lambda: np.zeros(len(at)))
-        grams: list[dict[str, np.ndarray]] = [defaultdict(lambda: np.zeros(len(at))) for _ in range(LONGEST)]
-        for lang, word, n in ((r["lang"], r["word"], r["n"]) for r in counts):
-            words[word][at[lang]] += n
-            for k in range(1, LONGEST + 1):
-                for g in grams_of(word, k):
-                    grams[k - 1][g][at[lang]] += n
-        self.words = self._logs(words)
-        self.grams = [self._logs(x) for x in grams]
-
-    def _logs(self, found: dict) -> dict:
-        if not found:
-            return {}
-        table = np.array(list(found.values())) + SMOOTH
-        logs = np.log(table / table.sum(axis=0)).astype(np.float32)
-        return dict(zip(found, logs, strict=True))
+        known = [(r["word"], at[r["lang"]], r["n"]) for r in counts]
+        self.words = _Table(iter(known), len(at))
+        self.grams = [_Table(((g, k, n) for w, k, n in known for g in grams_of(w, size)), len(at)) for size in range(1, LONGEST + 1)]
 
     def word(self, word: str) -> np.ndarray:
         known = self.words.get(word)
