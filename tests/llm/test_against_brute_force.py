@@ -1,5 +1,7 @@
 """Each digest query against plain Python, on a whole small table and on hard rows."""
 
+import random
+
 import duckdb
 import pytest
 from pyspark.sql import functions as F
@@ -139,6 +141,37 @@ def test_language_hard(hard, spark):
     assert {r["lang_pred"] for r in language.predict(hard, nothing, "doc_id").collect()} == {"und"}
 
 
+def test_language_counts_all_items(spark):
+    labelled = spark.createDataFrame([(1, "a", "Hi, hi \U00020000b x"), (2, "b", "hi")], "doc_id long, lang string, text string")
+    wanted = {}
+    for lang, word in [("a", "hi"), ("a", "hi"), ("a", "\U00020000b"), ("a", "x"), ("b", "hi")]:
+        for size, item in [(0, word)] + [(k, g) for k in range(1, language.LONGEST + 1) for g in language.grams_of(word, k)]:
+            wanted[size, lang, item] = wanted.get((size, lang, item), 0) + 1
+    assert {(r["size"], r["lang"], r["item"]): r["n"] for r in language.item_counts(labelled).collect()} == wanted
+
+
+def test_language_keeps_uneven_languages(spark, monkeypatch):
+    """Large languages leave room for a small one and for one whose words are clauses of count 1."""
+    draw = random.Random(7)
+    made = {lang: ["".join(draw.choice(letters) for _ in range(6)) for _ in range(400)] for lang, letters in (("big", "abcdefgh"), ("large", "ijklmnop"), ("rare", "qrstuvwx"))}
+
+    def text(lang, n):
+        if lang == "clauses":
+            return "。".join("".join(draw.choice("天地玄黄宇宙洪荒日月盈昃") for _ in range(9)) for _ in range(4))
+        return " ".join(draw.choice(made[lang]) for _ in range(n))
+
+    rows = [(i, lang, text(lang, 60)) for i, lang in enumerate(["big"] * 120 + ["large"] * 120 + ["rare"] * 3 + ["clauses"] * 12)]
+    items = language.item_counts(spark.createDataFrame(rows, "doc_id long, lang string, text string"))
+    model = language.build(items, max_items=400, least_share=10)
+    assert model.langs == ["big", "clauses", "large", "rare"]
+    assert len(model.words.place) <= 450 and any(not w.isascii() for w in model.words.place)
+    monkeypatch.setattr(language, "DENSE_FLOATS", 0)
+    sparse = language.build(items, max_items=400, least_share=10)
+    assert model.words.rows is not None and sparse.words.rows is None
+    for lang, scorer in [(lang, language.Scorer(m)) for m in (model, sparse) for lang in model.langs]:
+        assert [scorer.predict(text(lang, 8))[0] for _ in range(50)] == [lang] * 50
+
+
 def test_language_backs_off():
     model = language.Model([{"lang": "a", "word": "lopetu", "n": 5}, {"lang": "b", "word": "mirzak", "n": 5}])
     assert language.Scorer(model).predict("lopetz petul")[0] == "a" and language.Scorer(model).predict("zakmir")[0] == "b"
