@@ -5,8 +5,8 @@ before it kept.  ``run`` writes each stage's result as Parquet in the shared
 folder and reads it again as the next one's documents, so a lost executor
 costs one stage at most.
 
-1. ``language`` drops documents of no language, or of none that the model is
-   sure of.
+1. ``language`` drops documents of no language: without a letter, or with
+   nothing in them that the model knows.
 2. ``near_duplicates`` keeps one document, the least ``doc_id``, of each class
    of texts linked by 5-word shingles at a similarity of 0.8.
 3. ``decontaminate`` drops documents that hold a window of the benchmark.
@@ -25,12 +25,10 @@ from pyspark.sql import functions as F
 from sedimenta.llm import decontaminate, language, mixing, pii, similarity_join
 from sedimenta.llm.common import shared_folder, table
 
-MIN_LANGUAGE_SCORE = 0.5
-
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     scored = language.predict(docs, language.fit(docs), *docs.columns)
-    return scored.where((F.col("lang_pred") != "und") & (F.col("score") >= MIN_LANGUAGE_SCORE)).select(*docs.columns)
+    return scored.where(F.col("lang_pred") != "und").select(*docs.columns)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -17,7 +17,8 @@ neutral to what it has not seen, instead of taking or refusing it.
 Prediction runs over Arrow batches; each Python worker keeps a bounded cache
 of scored words.  Shuffles are of the sample only.
 
-Defined cases: a null text, or one without a letter, is ``und`` with score 0;
+Defined cases: a null text, one without a letter, or one of which the model
+knows neither a word nor an n-gram, is ``und`` with score 0;
 without labelled documents every text is; ties go to the first language by
 name; rows that repeat each get a row.
 """
@@ -178,7 +179,7 @@ class Model:
             tables.append(_Table(list(table), starts, k, n, np.bincount(k, n, len(langs)) if len(langs) else np.zeros(0)))
         return langs, tables
 
-    def word(self, word: str) -> np.ndarray:
+    def word(self, word: str) -> np.ndarray | None:
         known = self.words.place.get(word)
         if known is not None:
             return self.words.mean([known])
@@ -187,22 +188,30 @@ class Model:
             hits = [x for g in grams_of(word, k) if (x := get(g)) is not None]
             if hits:
                 return self.grams[k - 1].mean(hits)
-        return np.zeros(len(self.langs), np.float32)
+        return None
 
 
 class Scorer:
     def __init__(self, model: Model):
         langs = max(1, len(model.langs))
-        self.model, self.place, self.rows = model, {}, np.zeros((1024, langs), np.float32)
+        # The last column tells whether the model knows anything of the word.
+        self.model, self.place, self.rows = model, {}, np.zeros((1024, langs + 1), np.float32)
         self.cache = max(1024, min(CACHE, CACHE_FLOATS // langs))
 
+    def _row(self, word: str) -> np.ndarray:
+        row = np.zeros(self.rows.shape[1], np.float32)
+        found = self.model.word(word)
+        if found is not None:
+            row[:-1], row[-1] = found, 1
+        return row
+
     def _at(self, word: str) -> int:
         if len(self.place) >= self.cache:
             self.place.clear()
         k = len(self.place)
         if k == len(self.rows):
             self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-        self.rows[k] = self.model.word(word)
+        self.rows[k] = self._row(word)
         self.place[word] = k
         return k
 
@@ -214,11 +223,14 @@ class Scorer:
         if len(self.place) + len(counts) > self.cache:
             self.place.clear()
         if len(counts) > self.cache:  # one text with more distinct words than the cache holds
-            total = sum((n * self.model.word(w).astype(np.float64) for w, n in counts.items()), np.zeros(len(self.model.langs)))
+            total = sum((n * self._row(w).astype(np.float64) for w, n in counts.items()), np.zeros(self.rows.shape[1]))
         else:
             get, at = self.place.get, self._at
             rows = [k if (k := get(w)) is not None else at(w) for w in counts]
             total = np.fromiter(counts.values(), np.float64, len(counts)) @ self.rows[rows].astype(np.float64)
+        if not total[-1]:
+            return "und", 0.0
+        total = total[:-1]
         n = sum(counts.values())
         best = int(np.argmax(total))
         # Evidence of at most 30 words, so that long texts keep a scale.

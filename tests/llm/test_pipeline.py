@@ -51,6 +51,17 @@ def test_stages(spark, sf_dir):
     assert got == wanted
 
 
+def test_language_stage_keeps_known_languages(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before = {r["doc_id"]: r for r in docs.collect()}
+    after = rows_of(corpus_pipeline.language_stage(spark, docs, sf_dir))
+    assert {d for d, r in before.items() if r["lang"] is not None and any(map(str.isalpha, r["text"] or ""))} <= set(after)
+    # Evenly shared words leave every language at a quarter; the text is clean all the same.
+    rows = [(k, "shared words", lang, "s", 12) for k, lang in enumerate("abcd" * 8)] + [(100, "words", None, "s", 5), (101, "\u0416\u0416\u0416", None, "s", 3), (102, "1 2", "a", "s", 3)]
+    few = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert {r["doc_id"] for r in corpus_pipeline.language_stage(spark, few, sf_dir).collect()} == {*range(32), 100}
+
+
 def test_run(spark, sf_dir):
     out = corpus_pipeline.run(spark, sf_dir)
     assert out.columns[-1] == "copy" and out.count() > 100
