@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: Blanks between plain words, and everything that is not part of a token
 #: once A-Z are lower-cased.
@@ -91,12 +92,54 @@ def covered(starts_ends: Column) -> Column:
     )
 
 
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def whole_row(df: DataFrame) -> Column:
+    """All columns as one struct, so that none can clash with an operator's own."""
+    return F.struct(*[F.col(quoted(c)) for c in df.columns])
+
+
+def fields_of(name: str, columns: list[str]) -> list[Column]:
+    """The columns of :func:`whole_row` again, from the struct called ``name``."""
+    return [F.col(f"{name}.{quoted(c)}").alias(c) for c in columns]
+
+
+def free_name(name: str, columns: list[str]) -> str:
+    """``name``, with underscores added while a column is called so (in any case)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def row_hashes(df: DataFrame) -> list[Column]:
+    """128 bits of all columns but maps, which have no hash; null, empty and order count."""
+    plain = [F.col(quoted(f.name)) for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    nulls = F.concat(*[F.when(c.isNull(), "1").otherwise("0") for c in plain]) if plain else F.lit("")
+    return [F.xxhash64(nulls, *plain), F.xxhash64(F.lit(1), *plain, nulls)]
+
+
+def values(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A few constant rows, without a Python worker."""
+    fields = StructType.fromDDL(schema).fields
+    made = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(r, fields, strict=True)]) for r in rows]
+    if not made:
+        return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
+    return spark.range(1).select(F.inline(F.array(*made)))
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The session's ``spark.checkpoint.dir``; a folder of our own is set only
-    where that is unset (a single machine, as in tests)."""
+    """The session's ``spark.checkpoint.dir``.  Where that is unset, a folder of
+    our own is set on a local master (as in tests) and refused on a cluster,
+    whose machines would not see each other's files."""
     context = spark.sparkContext
     if not context.getCheckpointDir():
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="sedimenta-"))
+        folder = context.getConf().get("spark.checkpoint.dir")
+        if not folder and not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="sedimenta-"))
     return context.getCheckpointDir()
 
 

@@ -21,11 +21,15 @@ texts of such sets meet once more for exact similarities, and what leaves a
 block is a row per set with its links and its root in the block.  Roots are
 joined into classes by label propagation with pointer jumps, in checkpoints.
 
+Texts go by the digest of their set and rows by a hash of all their columns, so
+keys may repeat or be missing.
+
 Defined cases: a text of fewer words than a shingle is one shingle of all its
 words; a text without words (null, empty) has no links and is a class of its
-own; rows that repeat each get a row; copies share class and links; of several
-texts under one key, the one of least hash is joined and the others are
-classes of that key; rows without a key take no part and get no row.
+own; rows that repeat each get a row; copies share class and links; several
+texts of one key are each in the class of their text, which ``class_key`` tells
+apart; rows without a key take part, and a class of such rows only has no
+``class_id``; columns of any other name play no part.
 """
 
 from __future__ import annotations
@@ -40,7 +44,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable
+from .common import durable, fields_of, row_hashes, whole_row
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -108,7 +112,8 @@ def sketch(found: np.ndarray) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, key: str = "doc_id") -> DataFrame:
-    """(id, text_key, digest, n, sketch) per row; digest null without words."""
+    """(doc, row_a, row_b, id, size, sketch) per row; ``id`` is the digest of the
+    set, null without words."""
 
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = _Hashes()
@@ -119,10 +124,14 @@ def sketches(docs: DataFrame, key: str = "doc_id") -> DataFrame:
                     s = shingles(text, known)
                     rows.append((xxhash.xxh3_128_digest(s.tobytes()), len(s), sketch(s)) if len(s) else (None, 0, None))
                 digest, n, sk = zip(*rows, strict=True)
-                yield pd.DataFrame({"id": part["id"].to_numpy(), "text_key": part["text_key"].to_numpy(), "digest": digest, "n": n, "sketch": sk})
+                yield part[["doc", "row_a", "row_b"]].assign(id=digest, size=n, sketch=sk)
 
+    a, b = row_hashes(docs)
     kind = docs.schema[key].dataType.simpleString()
-    return docs.where(F.col(key).isNotNull()).select(F.col(key).alias("id"), F.xxhash64("text").alias("text_key"), "text").mapInPandas(of, f"id {kind}, text_key long, digest binary, n int, sketch array<int>")
+    # As text, so that a missing key does not turn a batch of integers into floats.
+    named = docs.select(F.col(key).cast("string").alias("doc"), a.alias("row_a"), b.alias("row_b"), "text")
+    found = named.mapInPandas(of, "doc string, row_a long, row_b long, id binary, size int, sketch array<int>")
+    return found.withColumn("doc", F.col("doc").cast(kind))
 
 
 def split_buckets(reps: DataFrame) -> DataFrame:
@@ -196,7 +205,7 @@ def _pairs(block: np.ndarray) -> np.ndarray:
 
 def partners_by_sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Of each cell, the sets with a partner: cell, id, partners."""
-    held: dict[str, list] = {"cell": [], "id": [], "partners": []}
+    held: dict[str, list] = {"cell": [], "id": [], "partners": []}  # partners: bits over the cell's sets here, by id
     for group in _by_cell(batches):
         if len(group) < 2:
             continue
@@ -221,10 +230,11 @@ def partners_by_sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame
             shared = shared[:, shared.sum(axis=0) > 1]
             wanted &= ~((shared @ shared.T) > 0)
         active = np.flatnonzero(wanted.any(axis=0) | wanted.any(axis=1))
+        active = active[np.argsort(ids[active])]
         for i in active:
             held["cell"].append(group["cell"].iloc[0])
             held["id"].append(ids[i])
-            held["partners"].append(ids[wanted[i]])
+            held["partners"].append(np.packbits(wanted[i, active]).tobytes())
         if len(held["id"]) >= 2000:
             yield pd.DataFrame(held)
             held = {k: [] for k in held}
@@ -264,30 +274,26 @@ def verified_links(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     held: list[tuple] = []
     for group in _by_cell(batches):
         ids = group["id"].to_numpy()
-        at = {x: k for k, x in enumerate(ids)}
+        group = group.iloc[np.argsort(ids)]
+        ids = group["id"].to_numpy()
         sets = [shingles(t, known) for t in group["text"]]
-        partners = group["partners"].to_numpy()
-        left = np.repeat(np.arange(len(ids)), [len(p) for p in partners])
-        right = np.array([at[x] for p in partners for x in p], np.int64)
+        bits = np.stack([np.unpackbits(np.frombuffer(p, np.uint8), count=len(ids)) for p in group["partners"]])
+        left, right = np.nonzero(bits)
         if not len(left):
             continue
         linked = similarities(sets, left, right) >= THRESHOLD - 1e-12
         left, right = left[linked], right[linked]
         links = np.bincount(left, minlength=len(ids)) + np.bincount(right, minlength=len(ids))
-        root = np.arange(len(ids))
-        by_id = np.argsort(ids, kind="stable")
-        rank = np.empty_like(by_id)
-        rank[by_id] = np.arange(len(ids))
-        low = rank.copy()  # least rank in the component, by rounds
+        low = np.arange(len(ids))  # least place, so least id, in the component, by rounds
         while True:
             new = low.copy()
             np.minimum.at(new, left, low[right])
             np.minimum.at(new, right, low[left])
-            new = np.minimum(new, new[by_id[new]])
+            new = np.minimum(new, new[new])
             if (new == low).all():
                 break
             low = new
-        root = ids[by_id[low]]
+        root = ids[low]
         held += [(ids[k], int(links[k]), root[k]) for k in np.flatnonzero(links)]
         if len(held) >= 5000:
             yield pd.DataFrame(held, columns=["id", "links", "root"])
@@ -313,49 +319,66 @@ def components(edges: DataFrame) -> DataFrame:
         labels = new.select("id", "root")
 
 
-def join_texts(docs: DataFrame, key: str = "doc_id") -> DataFrame:
-    """``key``, class_id (least key of the class), copy_of (least key of equal
-    sets) and n_links (other sets linked), for each row."""
-    kind = docs.schema[key].dataType.simpleString()
+def classes_of(docs: DataFrame, key: str = "doc_id") -> tuple[DataFrame, DataFrame]:
+    """(doc, row_a, row_b, id) of each row, and of each text's set (id, root,
+    copy_of, class_id, n_links): ``id`` and ``root`` are digests, the others keys."""
     rows = durable(sketches(docs, key))
     reps = (
-        rows.where(F.col("digest").isNotNull())
-        .groupBy("digest")
-        .agg(F.min(F.struct("id", "text_key")).alias("of"), F.first("n").alias("size"), F.first("sketch").alias("sketch"))
+        rows.where(F.col("id").isNotNull())
+        .groupBy("id")
+        .agg(F.min(F.struct("row_a", "row_b")).alias("of"), F.min("doc").alias("copy_of"), F.first("size").alias("size"), F.first("sketch").alias("sketch"))
     )
-    reps = reps.groupBy("of.id").agg(F.min_by(F.struct("of.text_key", "digest", "size", "sketch"), F.struct("of.text_key", "digest")).alias("r"))
-    reps = durable(reps.select("id", "r.*"))
+    reps = durable(reps)
     leaves = durable(split_buckets(reps))
     lists = leaves.groupBy("id").agg(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("n"), "leaf"))).alias("all"))
     cells = in_blocks(leaves).join(lists, "id").join(reps.select("id", "size", "sketch"), "id")
     earlier = F.filter("all", lambda x: (x["n"] < -F.col("n")) | ((x["n"] == -F.col("n")) & (x["leaf"] < F.col("leaf"))))
     cells = cells.select("cell", "block", "id", "size", "sketch", F.transform(earlier, lambda x: x["leaf"]).alias("before"))
-    found = cells.repartition("cell").sortWithinPartitions("cell").mapInPandas(partners_by_sketch, f"cell long, id {kind}, partners array<{kind}>")
+    found = cells.repartition("cell").sortWithinPartitions("cell").mapInPandas(partners_by_sketch, "cell long, id binary, partners binary")
     found = durable(found)
-    wanted = reps.join(found, "id", "left_semi").select("id", "text_key")
-    named = docs.select(F.col(key).alias("id"), F.xxhash64("text").alias("text_key"), "text").join(wanted, ["id", "text_key"]).dropDuplicates(["id"])
+    wanted = reps.join(found, "id", "left_semi").select("id", F.col("of.row_a").alias("row_a"), F.col("of.row_b").alias("row_b"))
+    a, b = row_hashes(docs)
+    named = docs.select(a.alias("row_a"), b.alias("row_b"), "text").join(wanted, ["row_a", "row_b"]).dropDuplicates(["id"])
     texts = found.join(named.select("id", "text"), "id").select("cell", "id", "partners", "text")
-    links = durable(texts.repartition("cell").sortWithinPartitions("cell").mapInPandas(verified_links, f"id {kind}, links long, root {kind}"))
+    links = durable(texts.repartition("cell").sortWithinPartitions("cell").mapInPandas(verified_links, "id binary, links long, root binary"))
     roots = components(links.select(F.col("id").alias("a"), F.col("root").alias("b")))
     totals = links.groupBy("id").agg(F.sum("links").alias("n_links"))
-    classes = reps.select("digest", "id").join(roots, "id", "left").join(totals, "id", "left")
-    classes = classes.select("digest", F.col("id").alias("copy_of"), F.coalesce("root", "id").alias("root"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    return rows.select("id", "digest").join(classes, "digest", "left").select(
-        F.col("id").alias(key),
-        F.coalesce("root", "id").alias("class_id"),
-        F.coalesce("copy_of", "id").alias("copy_of"),
+    classes = reps.select("id", "copy_of").join(roots, "id", "left").join(totals, "id", "left")
+    classes = durable(classes.select("id", F.coalesce("root", "id").alias("root"), "copy_of", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")))
+    least = classes.groupBy("root").agg(F.min("copy_of").alias("class_id"))
+    return rows.select("doc", "row_a", "row_b", "id"), classes.join(least, "root")
+
+
+def join_texts(docs: DataFrame, key: str = "doc_id") -> DataFrame:
+    """``key``, class_id (least key of the class), copy_of (least key of equal
+    sets), n_links (other sets linked) and class_key, for each row."""
+    rows, classes = classes_of(docs, key)
+    alone = F.col("id").isNull()
+    return rows.join(classes, "id", "left").select(
+        F.col("doc").alias(key),
+        F.when(alone, F.col("doc")).otherwise(F.col("class_id")).alias("class_id"),
+        F.when(alone, F.col("doc")).otherwise(F.col("copy_of")).alias("copy_of"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+        F.lower(F.hex("root")).alias("class_key"),
     )
 
 
 def one_of_each_class(docs: DataFrame, key: str = "doc_id") -> DataFrame:
-    """``docs`` without the members of a class other than its least key, and
-    without repeats of a key; rows without a key stay."""
-    classes = durable(join_texts(docs, key).groupBy(key).agg(F.count("*").alias("rows"), F.min("class_id").alias("class_id")))
-    out = classes.where(F.col(key) != F.col("class_id")).select(F.col(key).alias("_drop"))
-    kept = docs.join(out, docs[key] == out["_drop"], "left_anti")
-    repeats = classes.where((F.col("rows") > 1) & (F.col(key) == F.col("class_id"))).select(F.col(key).alias("_again"))
-    if repeats.isEmpty():
-        return kept
-    again = kept[key] == repeats["_again"]
-    return kept.join(repeats, again, "left_anti").unionByName(kept.join(repeats, again, "left_semi").dropDuplicates([key]))
+    """One row of each class: that of the least key (none last), of its rows the
+    one of least hash.  Rows without words are classes of their own and stay."""
+    rows, classes = classes_of(docs, key)
+    # Rows equal in all columns are one here, with their number.
+    members = rows.where(F.col("id").isNotNull()).groupBy("id", "doc", "row_a", "row_b").agg(F.count("*").alias("times"))
+    members = members.join(classes.select("id", "root"), "id").select("root", "times", F.struct(F.col("doc").isNull().alias("none"), "doc", "row_a", "row_b").alias("of"))
+    members = durable(members)
+    first = members.groupBy("root").agg(F.min("of").alias("first"))
+    marked = members.join(first, "root").select((F.col("of") == F.col("first")).alias("stays"), "times", F.col("of.row_a").alias("row_a"), F.col("of.row_b").alias("row_b"))
+    marked = durable(marked.where(~F.coalesce("stays", F.lit(True)) | (F.col("times") > 1)))
+    a, b = row_hashes(docs)
+    kept = docs.select(a.alias("row_a"), b.alias("row_b"), whole_row(docs).alias("row"))
+    kept = kept.join(marked.where(~F.col("stays")), ["row_a", "row_b"], "left_anti")
+    again = marked.where("stays")
+    if not again.isEmpty():
+        single = kept.join(again, ["row_a", "row_b"], "left_semi").groupBy("row_a", "row_b").agg(F.first("row").alias("row"))
+        kept = kept.join(again, ["row_a", "row_b"], "left_anti").unionByName(single)
+    return kept.select(*fields_of("row", docs.columns))

@@ -79,10 +79,10 @@ targets AS (
 placed AS (
   SELECT s.*, t.source_size, t.target,
          lpad(length(bin(size))::VARCHAR, 2, '0') || substr(bin(size), 2, 2) AS class,
-         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || '/17'), 1, 8))::BIGINT % ceil(count(*) OVER (PARTITION BY skey, class) / 500.0)::BIGINT AS block
+         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || '/17/' || md5(coalesce(text, ''))), 1, 8))::BIGINT % ceil(count(*) OVER (PARTITION BY skey, class) / 500.0)::BIGINT AS block
   FROM s JOIN targets t USING (skey)
 ),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY skey ORDER BY class, block, size, doc_id) AS k FROM placed),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY skey ORDER BY class, block, size, doc_id NULLS FIRST, md5(coalesce(text, ''))) AS k FROM placed),
 rated AS (
   SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate,
          ('0x' || substr(md5(skey || '#17'), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS u

@@ -85,34 +85,35 @@ def shingle_set(text):
 
 
 def similarity_classes(docs):
-    """{doc_id: (class, copy_of, links)} by comparing all pairs."""
-    sets = {d: shingle_set(t) for d, t in docs}
-    rep = {}
-    for d in sorted(sets):
-        rep.setdefault(sets[d], d)
-    of = {d: rep[s] if s else d for d, s in sets.items()}
-    reps = sorted({of[d] for d in sets if sets[d]})
+    """(doc_id, class_id, copy_of, links) of each row by comparing all pairs; ids
+    may repeat or be missing, and classes are of texts."""
+    sets = [shingle_set(t) for _, t in docs]
+    names = {}
+    for (d, _), s in zip(docs, sets):
+        names.setdefault(s, []).append(d)
+    least = lambda ids: min((d for d in ids if d is not None), default=None)
+    reps = [s for s in names if s]
     holders = {}
     for r in reps:
-        for g in sets[r]:
+        for g in r:
             holders.setdefault(g, []).append(r)
     links = {r: set() for r in reps}
     for r in reps:
         common = {}
-        for g in sets[r]:
+        for g in r:
             for o in holders[g]:
                 common[o] = common.get(o, 0) + 1
         for o, c in common.items():
-            if o != r and c >= 0.8 * (len(sets[r]) + len(sets[o]) - c) - 1e-9:
+            if o != r and c >= 0.8 * (len(r) + len(o) - c) - 1e-9:
                 links[r].add(o)
-    root = {}
+    of = {}
     for r in reps:
-        if r in root:
+        if r in of:
             continue
         todo, members = [r], {r}
         while todo:
             for o in links[todo.pop()] - members:
                 members.add(o)
                 todo.append(o)
-        root |= dict.fromkeys(members, min(members))
-    return {d: (root.get(of[d], d), of[d], len(links.get(of[d], ()))) for d in sets}
+        of |= dict.fromkeys(members, least([d for m in members for d in names[m]]))
+    return [(d, of[s], least(names[s]), len(links[s])) if s else (d, d, d, 0) for (d, _), s in zip(docs, sets)]

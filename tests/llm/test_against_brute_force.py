@@ -194,11 +194,26 @@ def test_mixing(any_docs):
             assert abs(taken[key] - target) <= max(0.05 * target, largest[key])
     rows = mixing.mixed_documents(any_docs)
     assert rows.columns == [*any_docs.columns, "copy"]
+    same(rows.collect(), mixing.mixed_documents(any_docs.repartition(3)).collect())
     assert rows.count() == sum(r["copies"] for r in got)
 
 
+def test_mixing_rows_keep_their_source(spark):
+    """Equal ids and texts of several sources, rows equal in all columns, and names that clash."""
+    rows = [(1, "x y z", c, c) for c in "abcd"] * 3 + [(None, "p q", None, "n")] * 5 + [(2, "p q r", "a", "1"), (2, "p q r", "a", "2")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, copy string").withColumn("_n", F.lit(1)).withColumn("row", F.lit("r"))
+    copies = {}
+    for r in mixing.mix(df).collect():
+        copies[r["target"], r["size"]] = copies.get((r["target"], r["size"]), 0) + r["copies"]
+    got = mixing.mixed_documents(df)
+    assert got.columns == [*df.columns, "copy_"]
+    assert got.groupBy("source").count().count() == 5 and got.count() == sum(copies.values())
+    assert all(r["source"] == (r["copy"] if r["copy"] in "abcd" else None if r["copy"] == "n" else "a") for r in got.collect())
+    same(got.collect(), mixing.mixed_documents(df.repartition(5)).collect())
+
+
 def test_mixing_targets_reshare(spark):
-    sizes = spark.createDataFrame([("0a", 10), ("0b", 1000), ("0c", 1000), ("1", 50)], "skey string, size long")
+    sizes = spark.createDataFrame([("0a", 10, 1), ("0b", 500, 2), ("0c", 1000, 1), ("1", 50, 1)], "skey string, size long, n long")
     got = {r["skey"]: r["target"] for r in mixing.source_targets(sizes).collect()}
     weight, cap = {"0a": 5, "0b": 2, "0c": 1, "1": 5}, {"0a": 20, "0b": 2000, "0c": 2000, "1": 100}
     want, goal, left = {}, 2060 * 1.5, set(weight)
@@ -310,11 +325,28 @@ def test_sql_agrees(spark, sf_dir, name):
     same([tuple(r) for r in df.select(*order).collect()], want.select(*order).fetchall())
 
 
+SEVERAL = [(1, "A a a a a a b"), (1, "B b b b c b d"), (3, "B b b b c b d"), (4, "A a a a a a b"), (None, "B b b b c b d"), (None, "only here and without a key"), (None, "only here and without a key"), (2, "C d e f g"), (2, "C d e f g"), (2, None), (2, None), (7, ""), (8, "a class of keys that a")]
+
+
+def links_of(df):
+    return df.select("doc_id", "class_id", "copy_of", "n_links").collect()
+
+
 def test_similarity_join(any_docs):
-    rows = [(d, t) for d, t in texts(any_docs) if d is not None]
-    want = brute.similarity_classes(dict(rows).items())
-    got = similarity_join.join_texts(any_docs).collect()
-    same([tuple(r) for r in got], [(d, *want[d]) for d, _ in rows])
+    want = brute.similarity_classes(texts(any_docs))
+    same([tuple(r) for r in links_of(similarity_join.join_texts(any_docs))], want)
+
+
+def test_similarity_join_keys_that_repeat(spark):
+    """Rows of one key and of none keep their texts; of each class one row stays."""
+    df = spark.createDataFrame([(*r, k % 2, "r", "k") for k, r in enumerate(SEVERAL)], "doc_id long, text string, id int, root string, row_a string")
+    got = similarity_join.join_texts(df)
+    same([tuple(r) for r in links_of(got)], brute.similarity_classes(SEVERAL))
+    assert got.where("class_key is not null").select("class_key").distinct().count() == len({t for _, t in SEVERAL if t})
+    left = similarity_join.one_of_each_class(df)
+    assert left.columns == df.columns
+    same([(r["doc_id"], r["text"]) for r in left.collect()], [(1, SEVERAL[0][1]), (1, SEVERAL[1][1]), (None, SEVERAL[5][1]), (2, "C d e f g"), (2, None), (2, None), (7, ""), (8, SEVERAL[12][1])])
+    same(left.collect(), similarity_join.one_of_each_class(df.repartition(3)).collect())
 
 
 def test_similarity_join_large_groups(spark, monkeypatch):
@@ -334,9 +366,8 @@ def test_similarity_join_large_groups(spark, monkeypatch):
         rows.append((k, " ".join(w)))
     rows += [(200 + k, " ".join(passage + [word() for _ in range(40)])) for k in range(150)]
     rows += [(500 + k, " ".join(base)) for k in range(30)]
-    want = brute.similarity_classes(rows)
-    got = similarity_join.join_texts(spark.createDataFrame(rows, "doc_id long, text string")).collect()
-    same([tuple(r) for r in got], [(d, *want[d]) for d, _ in rows])
+    got = links_of(similarity_join.join_texts(spark.createDataFrame(rows, "doc_id long, text string")))
+    same([tuple(r) for r in got], brute.similarity_classes(rows))
 
 
 def test_components(spark):
