@@ -11,14 +11,22 @@ The template is ``<turn ROLE>TEXT</turn>`` and a line feed.  In roles and
 texts ``\\`` is written ``\\e``, ``<`` is ``\\l`` and ``>`` is ``\\g``, so no text
 can hold a control string, and reading undoes it in one way only.
 
+Sizes come from a counting expression of the written turn, by default its
+characters by ``CHARS_PER_TOKEN``; any tokenizer's counts can be given instead
+(a column of the input, for one).  Prefix sums and the history that fits before
+each turn are windows over turns, so work is linear in a conversation's length.
+
 Defined cases: a null text or role is empty; an empty text is a turn of no
-characters; turns stand by ``turn`` (null first), then role and text, and rows
-that repeat are turns of their own; an empty table gives an empty result.
-A conversation is one row, as its digest is of its whole text.
+characters; turns stand by ``turn`` (null first), then role and text (by their
+bytes), and rows that repeat are turns of their own; columns of any other name
+play no part but in the counting expression; an empty table gives an empty
+result.  A conversation is one row, as its digest is of its whole text.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,8 +34,9 @@ from .common import let
 
 BUDGET = 1024
 HISTORY_BUDGET = 256
-#: Characters that count as one token in budgets.
+#: Characters that count as one token in budgets, where tokens are not counted.
 CHARS_PER_TOKEN = 4
+END = "</turn>\n"
 
 
 def escape(text: Column) -> Column:
@@ -44,8 +53,21 @@ def _long(n: int | Column) -> Column:
     return (F.lit(n) if isinstance(n, int) else n).cast("long")
 
 
+def characters(written: Column) -> Column:
+    """The default count of a written turn's tokens."""
+    return F.ceil(F.length(written) / CHARS_PER_TOKEN)
+
+
+def head_of(role: Column) -> Column:
+    return F.concat(F.lit("<turn "), escape(role), F.lit(">"))
+
+
+def written(role: Column, text: Column) -> Column:
+    return F.concat(head_of(role), escape(text), F.lit(END))
+
+
 def window_starts(turns: Column, system: Column, budget: int, history: int) -> Column:
-    """Indices (from 0) of the turns that begin a window."""
+    """(place, back) of the turns that begin a window; ``back`` turns before fit the history."""
     room = F.greatest(_long(1), _long(budget) - system - history)
 
     def step(acc: Column, t: Column) -> Column:
@@ -53,46 +75,44 @@ def window_starts(turns: Column, system: Column, budget: int, history: int) -> C
         fits = t["upto"] - acc["before"] <= F.when(F.size(acc["starts"]) == 1, _long(budget)).otherwise(room)
         cut = (t["i"] > 0) & ~fits
         return F.struct(
-            F.when(cut, F.concat(acc["starts"], F.array(t["i"]))).otherwise(acc["starts"]).alias("starts"),
+            F.when(cut, F.concat(acc["starts"], F.array(F.struct(t["i"].alias("at"), t["back"].alias("back"))))).otherwise(acc["starts"]).alias("starts"),
             F.when(cut, t["upto"] - t["size"]).otherwise(acc["before"]).alias("before"),
         )
 
-    start = F.struct(F.array(F.lit(0)).alias("starts"), _long(0).alias("before"))
-    return F.aggregate(turns, start, step, lambda acc: acc["starts"])
+    first = F.array(F.struct(F.lit(0).alias("at"), F.lit(0).alias("back")))
+    return F.aggregate(turns, F.struct(first.alias("starts"), _long(0).alias("before")), step, lambda acc: acc["starts"])
 
 
-def format_chat(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY_BUDGET) -> DataFrame:
+def format_chat(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY_BUDGET, count: Callable[[Column], Column] = characters) -> DataFrame:
     """conv_id and ``windows``: an array of (text, n_repeated, targets).
 
     ``n_repeated`` leading turns of the text are repeats; ``targets`` are the
     (start, length) of what the loss covers, in code points of the text.
+    ``count`` gives a written turn's tokens, one at least being counted.
     """
-    head, body = F.concat(F.lit("<turn "), escape(F.col("role")), F.lit(">")), escape(F.col("text"))
-    size = F.ceil((F.length(head) + F.length(body) + len("</turn>\n")) / CHARS_PER_TOKEN).cast("long")
-    rows = turns.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = rows.select("conv_id", "turn", "role", size.alias("size"), head.alias("head"), body.alias("body"))
-    order = ("turn", "role", "size", "head", "body")
-    upto = F.sum("size").over(Window.partitionBy("conv_id").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
-    rows = rows.select("conv_id", F.struct(*order, upto.alias("upto")).alias("t"))
-    convs = rows.groupBy("conv_id").agg(F.array_sort(F.collect_list("t")).alias("t"))
-    convs = convs.select("conv_id", "t", F.concat(F.array(_long(0)), F.transform("t", lambda x: x["upto"])).alias("upto"))
-    numbers = F.transform("t", lambda x, i: F.struct(i.alias("i"), x["size"].alias("size"), x["upto"].alias("upto")))
+    role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
+    size = F.greatest(_long(1), F.coalesce(count(written(role, text)).cast("long"), _long(1)))
+    rows = turns.select("conv_id", "turn", role.alias("role"), text.alias("text"), size.alias("size"))
+    conv = Window.partitionBy("conv_id")
+    rows = rows.withColumn("upto", F.sum("size").over(conv.orderBy("turn", "role", "text").rowsBetween(Window.unboundedPreceding, 0)))
+    # Turns before a turn whose sizes together fit the history: sums before them lie that near.
+    rows = rows.withColumn("before", F.col("upto") - F.col("size"))
+    rows = rows.withColumn("back", F.count("*").over(conv.orderBy("before").rangeBetween(-history, -1)).cast("int")).drop("before")
+    convs = rows.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("upto", "turn", "role", "text", "size", "back"))).alias("t"))
+    numbers = F.transform("t", lambda x, i: F.struct(i.alias("i"), x["size"].alias("size"), x["upto"].alias("upto"), x["back"].alias("back")))
     has_system = F.col("t")[0]["role"] == "system"
     system = F.when(has_system, F.col("t")[0]["size"]).otherwise(_long(0))
-    convs = convs.select("conv_id", "t", "upto", F.when(has_system, 1).otherwise(0).alias("n_system"), window_starts(numbers, system, budget, history).alias("starts"))
-
-    def one(start: Column, k: Column) -> Column:
-        end = F.coalesce(F.get("starts", k + 1), F.size("t"))  # exclusive
-        # Latest turns before the window that fit the history budget.
-        first = F.when(
-            start > 0,
-            F.size(F.filter(F.slice("upto", F.col("n_system") + 1, start - F.col("n_system")), lambda u: F.get("upto", start) - u > history)) + F.col("n_system"),
-        ).otherwise(start)
+    convs = convs.select("conv_id", "t", F.when(has_system, 1).otherwise(0).alias("n_system"), window_starts(numbers, system, budget, history).alias("starts"))
+
+    def one(s: Column, k: Column) -> Column:
+        start, end = s["at"], F.coalesce(F.get("starts", k + 1)["at"], F.size("t"))  # end exclusive
+        first = F.greatest(start - s["back"], F.col("n_system"))  # the system turn is repeated anyway
         repeats = F.when(start > 0, F.concat(F.slice("t", 1, F.col("n_system")), F.slice("t", first + 1, start - first))).otherwise(F.slice("t", 1, 0))
+        parts = lambda turns: F.transform(turns, lambda x: F.struct(x["role"].alias("role"), head_of(x["role"]).alias("head"), escape(x["text"]).alias("body")))
         return let(
-            F.struct(repeats.alias("old"), F.slice("t", start + 1, end - start).alias("new")),
+            F.struct(parts(repeats).alias("old"), parts(F.slice("t", start + 1, end - start)).alias("new")),
             lambda w: F.struct(
-                F.array_join(F.transform(F.concat(w["old"], w["new"]), lambda x: F.concat(x["head"], x["body"], F.lit("</turn>\n"))), "").alias("text"),
+                F.array_join(F.transform(F.concat(w["old"], w["new"]), lambda x: F.concat(x["head"], x["body"], F.lit(END))), "").alias("text"),
                 F.size(w["old"]).alias("n_repeated"),
                 F.aggregate(
                     w["new"],
@@ -118,7 +138,7 @@ def format_chat(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY_B
 
 
 def _turn_length(x: Column) -> Column:
-    return _long(F.length(x["head"]) + F.length(x["body"]) + len("</turn>\n"))
+    return _long(F.length(x["head"]) + F.length(x["body"]) + len(END))
 
 
 def windows(formatted: DataFrame) -> DataFrame:

@@ -58,11 +58,6 @@ def gram(words: Column, start: Column, length: int) -> list[Column]:
     return [F.get(words, start + k) for k in range(length)]
 
 
-def count_windows(n: Column, length: int) -> Column:
-    """How many windows of ``length`` items a list of ``n`` has."""
-    return F.greatest(n - (length - 1), F.lit(0))
-
-
 def window_hashes(words: Column, length: int) -> Column:
     """64-bit hash of each window of ``length`` words (a power of two), by start.
 

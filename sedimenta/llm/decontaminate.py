@@ -1,10 +1,12 @@
 """Benchmark decontamination: broadcast set of test n-grams, native Spark.
 
 Benchmark texts become windows of ``n`` consecutive tokens (an item that is
-shorter is one window of its own length).  The distinct windows are a hash
-set that is broadcast when a count proves it small, and joined by shuffle
-otherwise.  Training texts are cut into windows of the same lengths, probed
-by 64-bit hash, and each hash hit is verified on the words themselves.
+shorter is one window of its own length).  Training texts are cut into windows
+of all these lengths in one pass, probed by 64-bit hash, and each hash hit is
+verified on the words themselves.  The distinct windows are a hash set that is
+broadcast when a count proves it small.  Beyond that a bitmap of the hashes,
+of bounded size, is broadcast in its place; windows that it lets through are
+joined by shuffle.
 
 Defined cases: a null or empty text has no words and no hits; an empty
 benchmark hits nothing; rows that repeat (same doc_id and text) each get a
@@ -13,29 +15,48 @@ row; other columns of the input, whatever their names, play no part.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import count_windows, covered, gram, tokens
+from .common import covered, fields_of, gram, tokens, whole_row
 
 WINDOW = 10
 #: Windows up to which the benchmark's set is broadcast (some 100 MB).
 MAX_BROADCAST_WINDOWS = 500_000
-#: Hash of the extra entry that carries each document's own row.
-OWN_ROW = -7_046_029_254_386_353_131
+#: 64-bit words of the bitmap: eight bits for each window, up to some 80 MB.
+MAX_BITMAP_WORDS = 2_000_000
+
+
+def _per_length(lengths: list[int], length: Column, of) -> Column:
+    """``of(k)`` for the one of ``lengths`` that ``length`` is."""
+    out = of(lengths[-1])
+    for k in lengths[:-1]:
+        out = F.when(length == k, of(k)).otherwise(out)
+    return out
 
 
 def benchmark_windows(benchmark: DataFrame, n: int = WINDOW) -> DataFrame:
     """(h, length, item_id, gram): the distinct windows of each item."""
-    hash_of = lambda g: F.coalesce(*[F.when(F.size(g) == k, F.xxhash64(*gram(F.col(g), F.lit(0), k))) for k in range(1, n + 1)])
     words = benchmark.select("item_id", tokens(F.col("text")).alias("w")).where(F.size("w") > 0)
     lengths = words.select("item_id", "w", F.least(F.size("w"), F.lit(n)).alias("length"))
     grams = F.transform(F.sequence(F.lit(1), F.size("w") - F.col("length") + 1), lambda i: F.slice("w", i, F.col("length")))
-    return (
-        lengths.select("item_id", "length", F.explode(grams).alias("g"))
-        .select(hash_of("g").alias("h"), "length", "item_id", F.array_join("g", " ").alias("gram"))
-        .distinct()
-    )
+    hashed = _per_length(list(range(1, n + 1)), F.size("g"), lambda k: F.xxhash64(*gram(F.col("g"), F.lit(0), k)))
+    return lengths.select("item_id", "length", F.explode(grams).alias("g")).select(hashed.alias("h"), "length", "item_id", F.array_join("g", " ").alias("gram")).distinct()
+
+
+def bitmap(windows: DataFrame, count: int) -> tuple[DataFrame, int]:
+    """(slot, bits) of the windows' hashes, a row per 64-bit word that has any, and the number of words."""
+    words = max(1, min(MAX_BITMAP_WORDS, count // 8))
+    slots = windows.select(_slot(F.col("h"), words).alias("slot"), _bit(F.col("h")).alias("bit"))
+    return slots.groupBy("slot").agg(F.bit_or("bit").alias("bits")), words
+
+
+def _slot(h: Column, words: int) -> Column:
+    return F.pmod(F.shiftright(h, 6), F.lit(words))
+
+
+def _bit(h: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(h, F.lit(64)).cast("int"))
 
 
 def window_hits(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW) -> DataFrame:
@@ -45,47 +66,35 @@ def window_hits(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW) -> DataF
     positions from 0, end exclusive), items (array of item_id).
     """
     grams = benchmark_windows(benchmark, n)
-    sizes = {r["length"]: r["n"] for r in grams.groupBy("length").agg(F.count("*").alias("n")).collect()}
+    sizes = {r["length"]: r["n"] for r in grams.groupBy("length").agg(F.count("*").alias("n")).collect()}  # n rows at most
+    lengths, total = sorted(sizes) or [n], sum(sizes.values())
     words = docs.select("doc_id", F.xxhash64("text").alias("text_key"), tokens(F.col("text")).alias("w"))
-    small = sum(sizes.values()) <= MAX_BROADCAST_WINDOWS
-    own = docs.sparkSession.range(1).select(
-        F.lit(OWN_ROW).alias("h"), F.lit(None).cast(benchmark.schema["item_id"].dataType).alias("item_id"), F.lit(None).cast("string").alias("gram")
-    )
-    found = None
-    for length in sorted({n, *sizes}, reverse=True):
-        probe = grams.where(F.col("length") == length).select("h", "item_id", "gram")
-        n_windows = count_windows(F.size("w"), length)
-        if length == n:
-            probe = probe.unionByName(own)
-        # Places, not hashes, are exploded: the hash is then compiled code.
-        places = F.sequence(F.lit(0), n_windows if length == n else F.greatest(n_windows - 1, F.lit(0)))
-        cut = words.select("doc_id", "text_key", "w", F.explode_outer(places).alias("pos"))
-        is_own = (F.col("pos") == n_windows) if length == n else F.lit(False)
-        hashed = F.xxhash64(*gram(F.col("w"), F.col("pos"), length))
-        own_gram = F.concat_ws(" ", *gram(F.col("w"), F.col("pos"), length))
-        cut = cut.select(
-            "doc_id", "text_key", "w", "pos",
-            F.size("w").cast("long").alias("n_words"),
-            is_own.alias("is_own"),
-            F.when(is_own, F.lit(OWN_ROW)).otherwise(hashed).alias("h"),
-        )
-        probe = probe.withColumnRenamed("h", "probe_h")
-        if small:  # the words of a place are put together only where the hash hits
-            joined = cut.join(F.broadcast(probe), F.col("h") == F.col("probe_h"))
-        else:  # a shuffled row must not carry its whole text
-            joined = cut.withColumn("own_gram", own_gram).drop("w").join(probe, F.col("h") == F.col("probe_h"))
-            own_gram = F.col("own_gram")
-        verified = F.when(F.col("is_own"), F.col("gram").isNull() & (F.col("h") == OWN_ROW)).otherwise(F.coalesce(own_gram == F.col("gram"), F.lit(False)))
-        hits = joined.where(verified).select(
-            "doc_id", "text_key", "n_words",
-            F.when(~F.col("is_own"), F.struct(F.col("pos").alias("s"), (F.col("pos") + length).alias("e"))).alias("span"),
-            "item_id",
-            F.when(F.col("is_own"), 1).alias("own"),
-        )
-        found = hits if found is None else found.unionByName(hits)
+    own = words.select("doc_id", "text_key", F.size("w").cast("long").alias("n_words"), F.lit(1).alias("own"))
+    # Places, not hashes, are exploded: the hash is then compiled code.
+    last = F.size("w") - lengths[0]
+    places = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
+    cut = words.select("doc_id", "text_key", "w", F.explode_outer(places).alias("pos")).where(F.col("pos").isNotNull())
+    if len(lengths) > 1:
+        cut = cut.select("*", F.explode(F.array(*[F.lit(k) for k in lengths])).alias("length")).where(F.col("pos") + F.col("length") <= F.size("w"))
+    else:
+        cut = cut.withColumn("length", F.lit(lengths[0]))
+    hashed = _per_length(lengths, F.col("length"), lambda k: F.xxhash64(*gram(F.col("w"), F.col("pos"), k)))
+    own_gram = _per_length(lengths, F.col("length"), lambda k: F.concat_ws(" ", *gram(F.col("w"), F.col("pos"), k)))
+    cut = cut.select("doc_id", "text_key", "w", "pos", "length", hashed.alias("own_h"))
+    probe = grams.select("h", F.col("length").alias("of_length"), "item_id", "gram")
+    same = (F.col("own_h") == F.col("h")) & (F.col("length") == F.col("of_length"))
+    if total <= MAX_BROADCAST_WINDOWS:  # the words of a place are put together only where the hash hits
+        joined = cut.join(F.broadcast(probe), same).where(own_gram == F.col("gram"))
+    else:  # a shuffled row must not carry its whole text
+        bits, n_slots = bitmap(probe, total)
+        near = cut.join(F.broadcast(bits), (_slot(F.col("own_h"), n_slots) == F.col("slot")) & (F.col("bits").bitwiseAND(_bit(F.col("own_h"))) != 0))
+        near = near.select("doc_id", "text_key", "pos", "length", "own_h", own_gram.alias("own_gram"))
+        joined = near.join(probe, same).where(F.col("own_gram") == F.col("gram"))
+    hits = joined.select("doc_id", "text_key", F.struct(F.col("pos").alias("s"), (F.col("pos") + F.col("length")).alias("e")).alias("span"), "item_id")
     return (
-        found.groupBy("doc_id", "text_key", "n_words")
-        .agg(F.count("own").alias("rows"), F.array_sort(F.collect_set("span")).alias("spans"), F.collect_set("item_id").alias("items"))
+        hits.unionByName(own, allowMissingColumns=True)
+        .groupBy("doc_id", "text_key")
+        .agg(F.max("n_words").alias("n_words"), F.count("own").alias("rows"), F.array_sort(F.collect_set("span")).alias("spans"), F.collect_set("item_id").alias("items"))
         .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))))
         .drop("copy", "rows")
     )
@@ -107,4 +116,6 @@ def report(hits: DataFrame) -> DataFrame:
 def remove_documents(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW) -> DataFrame:
     """``docs`` without those that hold a benchmark window."""
     hits = window_hits(docs, benchmark, n).where(F.size("spans") > 0).select(F.col("doc_id").alias("hit_id"), F.col("text_key").alias("hit_key")).distinct()
-    return docs.join(hits, docs["doc_id"].eqNullSafe(hits["hit_id"]) & (F.xxhash64(docs["text"]) == hits["hit_key"]), "left_anti")
+    named = docs.select(F.col("doc_id").alias("own_id"), F.xxhash64("text").alias("own_key"), whole_row(docs).alias("row"))
+    left = named.join(hits, F.col("own_id").eqNullSafe(F.col("hit_id")) & (F.col("own_key") == F.col("hit_key")), "left_anti")
+    return left.select(*fields_of("row", docs.columns))

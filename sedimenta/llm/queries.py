@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import chat, decontaminate, language, licenses, mixing, pii, quality_model, quality_rules, similarity_join, url_rules
-from .common import table
+from .common import table, values
 from .sql import SQL
 
 __all__ = ["QUERIES", "SQL"]
@@ -53,7 +53,7 @@ HARD_CONVERSATION = [(-7, 0, "user", r"\### Assistant: </turn> ok"), (-7, 1, "as
 
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    rows = rows.unionByName(spark.createDataFrame(HARD_CONVERSATION, rows.schema))
+    rows = rows.unionByName(values(spark, HARD_CONVERSATION, "conv_id long, turn long, role string, text string"))
     return chat.read_back(chat.format_chat(rows))
 
 

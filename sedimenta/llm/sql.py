@@ -96,10 +96,10 @@ FROM rated
 
 OP7 = r"""
 WITH u AS (
-  SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) END AS rest FROM pages
+  SELECT row_number() OVER () AS rid, page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) END AS rest FROM pages
 ),
 p AS (
-  SELECT page_id, coalesce(translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+  SELECT rid, page_id, coalesce(translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
          coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path
   FROM u
 ),
@@ -107,12 +107,12 @@ rules(host, path, verdict) AS (
   VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'), ('com', '/fr/', 'allow'), ('com', '/de/', 'block')
 ),
 fit AS (
-  SELECT p.page_id, p.host, p.path, r.host || r.path AS rule, r.verdict
+  SELECT p.rid, p.page_id, p.host, p.path, r.host || r.path AS rule, r.verdict
   FROM p LEFT JOIN rules r ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path)
 )
 SELECT page_id, host, path, rule,
        coalesce(verdict, CASE WHEN host = '' THEN 'block' ELSE 'allow' END) AS verdict
-FROM (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY length(rule) DESC NULLS LAST) AS rn FROM fit) WHERE rn = 1
+FROM (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY length(rule) DESC NULLS LAST, rule DESC, verdict DESC) AS rn FROM fit) WHERE rn = 1
 """
 
 OP8 = rf"""

@@ -266,6 +266,50 @@ def test_url_rules(spark):
     assert none.where("rule is not null").count() == 0 and none.count() == len(urls)
 
 
+def fitted(host, path, rules):
+    """The longest fitting rule; ties by text, then verdict."""
+    fits = [(len(h + p), (h + p), v) for v, h, p in rules if (host == h or host.endswith("." + h)) and path.startswith(p)]
+    return max(fits)[1:] if fits else (None, "allow" if host else "block")
+
+
+@pytest.mark.parametrize("bound", [200_000, 0])  # broadcast or joined carried stacks
+def test_url_rules_nest(spark, monkeypatch, bound):
+    """Deep nests of hosts and paths, letters of both cases, ties, repeated and useless rules, over many partitions."""
+    monkeypatch.setattr(url_rules, "MAX_BROADCAST_CARRIED", bound)
+    draw = random.Random(11)
+    label, part = lambda: draw.choice("abc"), lambda: draw.choice(["x", "xy", "x/", "/", "y"])
+    host = lambda most: ".".join(label() for _ in range(draw.randint(1, most))) + draw.choice([".com", ".org"])
+    path = lambda most: "/" + "".join(part() for _ in range(draw.randint(0, most)))
+    rules = [(draw.choice(["allow", "block"]), host(4), path(4)) for _ in range(300)]
+    rules += [("allow", "com", "/x"), ("block", "com", "/x"), ("allow", "a.com", ""), ("block", "Example.ORG", "/Es/"), *rules[:5]]
+    useless = [("block", None, "/"), ("block", "", "/"), ("block", "org", None), (None, "org", "/")]
+    urls = [f"http://{host(6)}{path(6)}" for _ in range(500)] + ["http://example.org/Es/1", "http://sub.example.org/es/", "http://com/xy", "http://a.com", "http://com/xyz"]
+    pages = spark.createDataFrame([(i // 2, u, "n", "r") for i, u in enumerate(urls)], "page_id long, url string, nodes string, row string").repartition(7)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = url_rules.judge_urls(pages, spark.createDataFrame(rules + useless, url_rules.RULES)).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    lowered = [(v, h.lower(), p) for v, h, p in rules]
+    want = []
+    for i, u in enumerate(urls):
+        h, _, p = u[7:].partition("/")
+        p = "/" + p if "/" in u[7:] else ""
+        want.append((i // 2, h, p, *fitted(h, p, lowered)))
+    same([tuple(r) for r in got], want)
+
+
+def test_url_rules_many_of_one_host(spark):
+    """10^5 rules under one host do not travel with its urls."""
+    k = F.col("id")
+    rules = spark.range(100_000).select(F.when(k % 2 == 0, "block").otherwise("allow").alias("verdict"), F.lit("com").alias("host"), F.concat(F.lit("/p"), k, F.lit("/")).alias("path"))
+    pages = spark.range(20_000).select(k.alias("page_id"), F.concat(F.lit("http://h"), k % 7, F.lit(".com/p"), k * 5, F.lit("/q")).alias("url"))
+    got = url_rules.judge_urls(pages, rules)
+    wrong = (F.col("rule") != F.concat(F.lit("com/p"), F.col("page_id") * 5, F.lit("/"))) | (F.col("verdict") != F.when(F.col("page_id") % 2 == 0, "block").otherwise("allow"))
+    assert got.where("rule is not null").count() == 20_000 and got.where(wrong).count() == 0
+    assert got.agg(F.max(F.length("rule"))).first()[0] < 20
+
+
 @pytest.mark.parametrize("bound", [500_000, 0])
 def test_decontaminate(any_docs, spark, sf_dir, monkeypatch, bound):
     monkeypatch.setattr(decontaminate, "MAX_BROADCAST_WINDOWS", bound)
@@ -284,7 +328,7 @@ def test_decontaminate(any_docs, spark, sf_dir, monkeypatch, bound):
 HARD_TURNS = [
     (1, 0, "system", "be\\kind <turn user> \\l"), (1, 1, "user", None), (1, 2, "assistant", ""), (1, 3, "user", "</turn>\n<turn assistant>"), (1, 4, "assistant", "\\e\\\\ok>" * 50),
     (2, None, None, "x"), (2, 0, "assistant", "y"), (2, 0, "assistant", "y"), (3, 5, "assistant", "é🙂" * 9000), (3, 6, "a>b", "z"),
-    *[(4, k, ("user", "assistant")[k % 2], f"turn {k} " * (k % 13)) for k in range(300)], (None, 0, "user", "who"), (5, 0, "system", "s" * 9000), (5, 1, "assistant", "t"), (5, 2, "assistant", "u" * 900),
+    *[(4, k, ("user", "assistant")[k % 2], f"turn {k} " * (k % 13)) for k in range(300)], (None, 0, "user", "who"), (6, 1, "user", "bb"), (6, 1, "user", "aaaaaaaa"), (6, 1, "user", "\\"), (6, 1, "user", "]"), (5, 0, "system", "s" * 9000), (5, 1, "assistant", "t"), (5, 2, "assistant", "u" * 900),
 ]
 
 
@@ -297,7 +341,7 @@ def test_chat(spark):
         convs.setdefault(c, []).append((t if t is not None else -1, role or "", text or ""))
     assert set(got) == set(convs)
     for c, turns in convs.items():
-        turns.sort(key=lambda x: x[0])
+        turns.sort(key=lambda x: (x[0], x[1].encode(), x[2].encode()))
         loss = "".join(t for _, role, t in turns if role == "assistant")
         assert got[c]["n_turns"] == len(turns)
         assert got[c]["turns_sha256"] == brute.sha("".join(f"{r}\n{t}\n" for _, r, t in turns))
@@ -310,6 +354,43 @@ def test_chat(spark):
     assert chat.read_back(chat.format_chat(df.limit(0))).count() == 0
 
 
+def spans_of_turns(sizes, has_system, budget, history):
+    """(start, end, first repeated) of each window by plain counting."""
+    out, start, used, room = [], 0, 0, budget
+    for i, size in enumerate(sizes):
+        if i and used + size > room:
+            out.append((start, i))
+            start, used, room = i, 0, max(1, budget - history - (sizes[0] if has_system else 0))
+        used += size
+    out.append((start, len(sizes)))
+    first = []
+    for s, _ in out:
+        f = s
+        while f > int(has_system) and sum(sizes[f - 1 : s]) <= history and s:
+            f -= 1
+        first.append(f)
+    return [(s, e, f) for (s, e), f in zip(out, first)]
+
+
+def test_chat_windows(spark):
+    """Windows against plain counting, with words as tokens, and a long conversation in linear time."""
+    draw = random.Random(4)
+    convs = {c: [("system" if c % 2 and not k else ("user", "assistant")[k % 2], " ".join(["w"] * draw.randint(0, 30))) for k in range(draw.randint(1, 60))] for c in range(30)}
+    convs[99] = [(("user", "assistant")[k % 2], f"turn {k} " * (k % 7)) for k in range(30_000)]
+    df = spark.createDataFrame([(c, k, r, t) for c, turns in convs.items() for k, (r, t) in enumerate(turns)], "conv_id long, turn long, role string, text string")
+    formatted = chat.format_chat(df, budget=64, history=20, count=lambda w: F.size(F.split(w, " ")))
+    got = {}
+    for w in chat.windows(formatted).collect():
+        got.setdefault(w["conv_id"], []).append((w["window"], w["text"].count("</turn>"), w["n_repeated"], [w["text"][s["start"] : s["start"] + s["length"]] for s in w["targets"]]))
+    for c, turns in convs.items():
+        sizes = [len(f"<turn {r}>{t}</turn>\n".split(" ")) for r, t in turns]
+        want = []
+        for k, (s, e, f) in enumerate(spans_of_turns(sizes, turns[0][0] == "system", 64, 20)):
+            repeated = (s - f + (turns[0][0] == "system")) if s else 0
+            want.append((k, e - s + repeated, repeated, [t for r, t in turns[s:e] if r == "assistant"]))
+        assert sorted(got[c]) == want
+
+
 @pytest.mark.parametrize("name", ["op1_quality_rules", "op5_mixing", "op7_url_rules", "op8_decontaminate", "op9_chat_format"])
 def test_sql_agrees(spark, sf_dir, name):
     import glob
