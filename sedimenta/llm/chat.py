@@ -107,10 +107,15 @@ def format_chat(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY_B
     def one(s: Column, k: Column) -> Column:
         start, end = s["at"], F.coalesce(F.get("starts", k + 1)["at"], F.size("t"))  # end exclusive
         first = F.greatest(start - s["back"], F.col("n_system"))  # the system turn is repeated anyway
-        repeats = F.when(start > 0, F.concat(F.slice("t", 1, F.col("n_system")), F.slice("t", first + 1, start - first))).otherwise(F.slice("t", 1, 0))
-        parts = lambda turns: F.transform(turns, lambda x: F.struct(x["role"].alias("role"), head_of(x["role"]).alias("head"), escape(x["text"]).alias("body")))
+        none = F.expr("cast(array() as array<int>)")
+        places = F.when(first < start, F.sequence(first, start - 1)).otherwise(none)
+        repeats = F.when(start > 0, F.concat(F.when(F.col("n_system") > 0, F.array(F.lit(0))).otherwise(none), places)).otherwise(none)
+
+        def parts(places: Column) -> Column:  # by place: a slice would go through all turns each time
+            return F.transform(places, lambda i: let(F.get("t", i), lambda x: F.struct(x["role"].alias("role"), head_of(x["role"]).alias("head"), escape(x["text"]).alias("body"))))
+
         return let(
-            F.struct(parts(repeats).alias("old"), parts(F.slice("t", start + 1, end - start)).alias("new")),
+            F.struct(parts(repeats).alias("old"), parts(F.sequence(start, end - 1)).alias("new")),
             lambda w: F.struct(
                 F.array_join(F.transform(F.concat(w["old"], w["new"]), lambda x: F.concat(x["head"], x["body"], F.lit(END))), "").alias("text"),
                 F.size(w["old"]).alias("n_repeated"),
@@ -142,8 +147,11 @@ def _turn_length(x: Column) -> Column:
 
 
 def windows(formatted: DataFrame) -> DataFrame:
-    """A row per training window: conv_id, window, text, n_repeated, targets."""
-    return formatted.select("conv_id", F.posexplode("windows").alias("window", "w")).select("conv_id", "window", "w.*")
+    """A row per training window: conv_id, window, text, n_repeated, targets.
+
+    A conversation has one at least; a plain explode would compute them once more for its inferred filter.
+    """
+    return formatted.select("conv_id", F.posexplode_outer("windows").alias("window", "w")).select("conv_id", "window", "w.*")
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
