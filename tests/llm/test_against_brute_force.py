@@ -1,5 +1,6 @@
 """Each digest query against plain Python, on a whole small table and on hard rows."""
 
+import math
 import random
 
 import duckdb
@@ -243,6 +244,72 @@ def test_quality_model(hard, docs, spark, sf_dir):
     assert quality_model.classify(hard.limit(0), two).count() == 0
 
 
+def test_quality_strengths(spark):
+    """Prior counts that made the counts are found again; chance alone has none."""
+    import numpy as np
+
+    rng = np.random.default_rng(8)
+    rows = []
+    for h in range(1500):
+        base = rng.beta(0.4 * 20, 0.6 * 20)
+        for p in range(4):
+            n = int(rng.integers(20, 60))
+            rows.append((f"h{h}", f"p{p}", float(n), float(rng.binomial(n, rng.beta(base * 60, (1 - base) * 60)))))
+    schema = "host string, path string, n double, good double"
+    mean, hosts, paths = quality_model.strengths(spark.createDataFrame(rows, schema))
+    assert abs(mean - 0.4) < 0.02 and 14 < hosts < 24 and 45 < paths < 80
+    chance = [(h, p, n, float(rng.binomial(int(n), 0.4))) for h, p, n, _ in rows]
+    assert min(quality_model.strengths(spark.createDataFrame(chance, schema))[1:]) > 500
+    one = spark.createDataFrame([("h", "p", 10.0, 4.0)], schema)
+    assert quality_model.strengths(one) == (0.4, quality_model.MOST_STRENGTH, quality_model.MOST_STRENGTH)
+
+
+def test_quality_model_by_hand(spark, docs, sf_dir):
+    """Every step again in plain Python: fit, sites without the document itself, odds."""
+    import numpy as np
+
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    got = {r["doc_id"]: r for r in quality_model.classify(docs, labels).collect()}
+    truth = {}
+    for r in labels.where("quality is not null").collect():
+        truth[r["doc_id"]] = min(r["quality"], truth.get(r["doc_id"], 1))
+    rows = [r.asDict() | {"y": truth.get(r["doc_id"])} for r in quality_model.format_features(docs, "doc_id", "source", "lang").collect()]
+    known = [r for r in rows if r["y"] is not None]
+    x, y, beta = np.array([r["x"] for r in known]), np.array([r["y"] for r in known]), np.zeros(len(quality_model.FEATURES))
+    ridge = np.array([1e-3] + [1.0] * (len(beta) - 1))
+    for _ in range(200):  # Newton again, on the plain likelihood
+        p = 1 / (1 + np.exp(-x @ beta))
+        beta += np.linalg.solve((x.T * (p * (1 - p))) @ x + np.diag(ridge), x.T @ (y - p) - ridge * beta)
+    for r in rows:
+        r["e"] = float(np.dot(r["x"], beta))
+        r["p"] = 1 / (1 + math.exp(-r["e"]))
+    worth = np.corrcoef([r["p"] for r in known], y)[0, 1] ** 2
+    n, good = {}, {}
+    for r in rows:
+        r["n"], r["g"] = (1.0, float(r["y"])) if r["y"] is not None else (worth, worth * r["p"])
+        for site in (("host", r["source"]), ("path", r["source"], r["lang"])):
+            n[site], good[site] = n.get(site, 0) + r["n"], good.get(site, 0) + r["g"]
+
+    def scatter(groups):
+        total, g = sum(n[s] for s in groups), sum(good[s] for s in groups)
+        m = g / total
+        excess = sum(n[s] * (good[s] / n[s] - m) ** 2 for s in groups) - m * (1 - m) * (len(groups) - 1)
+        return m, excess, m * (1 - m) * (total - len(groups) + 1 - sum(n[s] ** 2 for s in groups) / total)
+
+    hosts = [s for s in n if s[0] == "host"]
+    mean, *of_hosts = scatter(hosts)
+    of_paths = np.sum([scatter([s for s in n if s[0] == "path" and s[1] == h[1]])[1:] for h in hosts], axis=0)
+    strength = lambda excess, room: 1e6 if excess <= 0 or room <= 0 else min(1e6, max(0.5, room / min(excess, room) - 1))
+    for r in rows:
+        h, p = ("host", r["source"]), ("path", r["source"], r["lang"])
+        k, j = strength(*of_hosts), strength(*of_paths)
+        host = (good[h] - r["g"] + k * mean) / (n[h] - r["n"] + k)
+        path = (good[p] - r["g"] + j * host) / (n[p] - r["n"] + j)
+        odds = r["e"] + math.log(path / (1 - path)) - math.log(mean / (1 - mean))
+        want = (r["p"], host, path, 1 / (1 + math.exp(-odds)))
+        assert [got[r["doc_id"]][c] for c in ("model_score", "host_share", "path_share", "score")] == pytest.approx(want, rel=1e-5, abs=1e-9)
+
+
 def test_url_rules(spark):
     urls = [
         None, "", "no scheme", "http://", "HTTP://WWW.Example.ORG/es/1?q#f", "https://example.org/en/12", "https://example.org/en/2", "https://a.b.example.org/en/1",
