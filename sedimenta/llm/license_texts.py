@@ -3,16 +3,62 @@
 #: Phrases of the base labels.
 PHRASES = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
 
-#: Distinctive passages of public licences, by label.
+_MIT_GRANT = (
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+    'documentation files (the "Software"), to deal in the Software without restriction, including without limitation '
+    "the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and "
+    "to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above "
+    "copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."
+)
+_MIT_WARRANTY = (
+    ' THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE '
+    "WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR "
+    "COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR "
+    "OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+)
+_BSD_TERMS = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+    "following conditions are met: {a}Redistributions of source code must retain the above copyright notice, this list of "
+    "conditions and the following disclaimer. {b}Redistributions in binary form must reproduce the above copyright notice, "
+    "this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."
+)
+_BSD_NAMES = (
+    " {c}Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+    "derived from this software without specific prior written permission."
+)
+_BSD_WARRANTY = (
+    ' THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, '
+    "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE "
+    "DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, "
+    "SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; "
+    "LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN "
+    "CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS "
+    "SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+_GNU_NOTICE = (
+    "This program is free software: you can redistribute it and/or modify it under the terms of the GNU {name}General Public "
+    "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any "
+    "later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without "
+    "even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {name}General Public "
+    "License for more details."
+)
+_CC = "This work is licensed under a Creative Commons {name} 4.0 International License."
+_ISC_GRANT = (
+    "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+    "granted, provided that the above copyright notice and this permission notice appear in all copies."
+)
+_ISC_WARRANTY = (
+    ' THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED '
+    "WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR "
+    "CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, "
+    "NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."
+)
+
+#: Public licences by label: whole texts of the short ones, with and without
+#: their warranty, and the notices by which files name the long ones.
 TEMPLATES = (
-    (
-        "mit",
-        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
-        'documentation files (the "Software"), to deal in the Software without restriction, including without limitation '
-        "the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and "
-        "to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above "
-        "copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
-    ),
+    ("mit", _MIT_GRANT),
+    ("mit", _MIT_GRANT + _MIT_WARRANTY),
     (
         "apache",
         'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance '
@@ -21,26 +67,15 @@ TEMPLATES = (
         '"AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the '
         "specific language governing permissions and limitations under the License.",
     ),
-    (
-        "gpl",
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
-        "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any "
-        "later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without "
-        "even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public "
-        "License for more details.",
-    ),
-    (
-        "bsd",
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
-        "following conditions are met: Redistributions of source code must retain the above copyright notice, this list of "
-        "conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, "
-        "this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
-    ),
-    (
-        "isc",
-        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
-        "granted, provided that the above copyright notice and this permission notice appear in all copies.",
-    ),
+    ("gpl", _GNU_NOTICE.format(name="")),
+    ("lgpl", _GNU_NOTICE.format(name="Lesser ")),
+    ("agpl", _GNU_NOTICE.format(name="Affero ")),
+    ("bsd", _BSD_TERMS.format(a="", b="")),
+    ("bsd", _BSD_TERMS.format(a="1. ", b="2. ") + _BSD_WARRANTY),
+    ("bsd-3-clause", _BSD_TERMS.format(a="", b="") + _BSD_NAMES.format(c="")),
+    ("bsd-3-clause", _BSD_TERMS.format(a="1. ", b="2. ") + _BSD_NAMES.format(c="3. ") + _BSD_WARRANTY),
+    ("isc", _ISC_GRANT),
+    ("isc", _ISC_GRANT + _ISC_WARRANTY),
     (
         "mpl",
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
@@ -52,5 +87,22 @@ TEMPLATES = (
         "use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any "
         "purpose, commercial or non-commercial, and by any means.",
     ),
-    ("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
+    (
+        "zlib",
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for "
+        "any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, "
+        "including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions",
+    ),
+    (
+        "bsl",
+        "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying "
+        'documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute, and transmit the '
+        "Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so",
+    ),
+    ("cc-by", _CC.format(name="Attribution")),
+    ("cc-by-sa", _CC.format(name="Attribution-ShareAlike")),
+    ("cc-by-nc", _CC.format(name="Attribution-NonCommercial")),
+    ("cc-by-nd", _CC.format(name="Attribution-NoDerivatives")),
+    ("cc-by-nc-sa", _CC.format(name="Attribution-NonCommercial-ShareAlike")),
+    ("cc-by-nc-nd", _CC.format(name="Attribution-NonCommercial-NoDerivatives")),
 )

@@ -5,7 +5,11 @@ through it to get matching statistics (for each token, the longest match that
 ends there and where it stands in the templates).  Matches that cannot be
 extended are anchors; anchors of one template that follow each other in both
 text and template are chained, and a chain that covers enough of the template
-is a span with the template's label.
+is a candidate.  Licences share most of their words with their kin, so of
+candidates that overlap only the closest stands: that whose covered tokens,
+less the template's uncovered ones and the text's foreign ones inside the
+chain, are most.  A short template, which a word or two can turn into another
+licence, must be covered nearly whole.
 
 The automaton is of fixed size and goes with the function.  Texts go through
 Python in Arrow batches, one row out for one row in: no shuffle, no state
@@ -13,8 +17,9 @@ between rows, and a lost executor costs its batches only.  Tokens outside the
 templates' words end a match, so only runs of known tokens are streamed.
 
 Defined cases: a null or empty text has no words and score 0; labels are
-distinct and sorted; a template covered twice is one label with two spans;
-rows that repeat each get a row.
+distinct and sorted; a template covered twice is one label with two spans; of
+equally close candidates the better covered, then the first by label stands;
+rows that repeat each get a row; columns of any other name play no part.
 """
 
 from __future__ import annotations
@@ -29,9 +34,11 @@ from pyspark.sql import functions as F
 
 from .license_texts import PHRASES, TEMPLATES
 
-#: Shortest anchor, in tokens, and least cover of a template.
+#: Shortest anchor, in tokens, and least cover of a template, and of one of
+#: less than SHORT tokens.
 ANCHOR = 5
 COVER = 0.6
+SHORT, SHORT_COVER = 30, 0.9
 #: Most tokens between anchors of a chain, in the text.
 GAP = 40
 
@@ -165,29 +172,37 @@ class Scanner:
             for which, end in self.automaton.ends[state]:
                 if which < self.n_templates:
                     per.setdefault(which, []).append((start, end - length + 1, length))
-        spans = []
+        candidates = []
         for which, found in per.items():
             found.sort()
+            total = self.lengths[which]
             starts = [x[0] for x in found]
             covers = [x[2] for x in found]
             froms = list(range(len(found)))
             for i, (start, place, length) in enumerate(found):
                 # Anchors that can precede begin at most a gap and a template back.
-                for j in range(bisect_left(starts, start - GAP - self.lengths[which]), i):
+                for j in range(bisect_left(starts, start - GAP - total), i):
                     s, p, size = found[j]
                     if s + size + GAP < start or p >= place or s >= start:
                         continue
                     gain = length - max(0, s + size - start, p + size - place)
                     if gain > 0 and covers[j] + gain > covers[i]:
                         covers[i], froms[i] = covers[j] + gain, froms[j]
-            for i in sorted(range(len(found)), key=lambda i: -covers[i]):
-                share = covers[i] / self.lengths[which]
-                if share < COVER:
-                    break
-                span = (found[froms[i]][0], found[i][0] + found[i][2])
-                if all(span[1] <= s or span[0] >= e for s, e, label, _ in spans if label == self.labels[which]):
-                    spans.append((*span, self.labels[which], min(1.0, share)))
-        return sorted(spans)
+            for i, (start, _, length) in enumerate(found):
+                if covers[i] >= (COVER if total >= SHORT else SHORT_COVER) * total:
+                    begin, end = found[froms[i]][0], start + length
+                    covered = min(covers[i], total)
+                    closeness = covered - (total - covered) - max(0, end - begin - covered)
+                    candidates.append((-closeness, -covered / total, self.labels[which], begin, end))
+        # The closest first; spans that stand do not overlap, so a new one can only meet its neighbours.
+        begins, spans = [], []
+        for _, cover, label, begin, end in sorted(candidates):
+            k = bisect_left(begins, begin)
+            if (k and spans[k - 1][1] > begin) or (k < len(spans) and spans[k][0] < end):
+                continue
+            begins.insert(k, begin)
+            spans.insert(k, (begin, end, label, -cover))
+        return spans
 
 
 SCHEMA = "n_words long, phrases array<struct<start:long,label:string>>, spans array<struct<start:long,end:long,label:string,cover:double>>"

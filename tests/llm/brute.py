@@ -39,6 +39,39 @@ def licenses(text):
     return len(words), len(hits), min(starts, default=None), max(starts, default=None), ",".join(sorted({x for _, x in hits}))
 
 
+def license_spans(words, templates, labels, anchor=5, gap=40):
+    """Chains of anchors by plain loops: longest matches, all pairs of anchors, all pairs of candidates."""
+
+    def longest(end):  # of the match that ends before ``end``
+        return max((n for t in templates for p in range(1, len(t) + 1) for n in [tail(t, p, end)]), default=0)
+
+    def tail(t, p, end):
+        n = 0
+        while n < min(p, end) and t[p - 1 - n] == words[end - 1 - n]:
+            n += 1
+        return n
+
+    best = [0] + [longest(k) for k in range(1, len(words) + 1)] + [0]
+    ends = [k for k in range(1, len(words) + 1) if best[k] >= anchor and best[k + 1] <= best[k]]
+    out = []
+    for t, label in zip(templates, labels):
+        found = sorted((k - best[k], p - best[k], best[k]) for k in ends for p in range(1, len(t) + 1) if tail(t, p, k) == best[k])
+        cover, first = [n for *_, n in found], list(range(len(found)))
+        for i, (s, p, n) in enumerate(found):
+            for j, (s2, p2, n2) in enumerate(found[:i]):
+                add = n - max(0, s2 + n2 - s, p2 + n2 - p)
+                if s2 < s and p2 < p and s2 + n2 + gap >= s and s2 >= s - gap - len(t) and add > 0 and cover[j] + add > cover[i]:
+                    cover[i], first[i] = cover[j] + add, first[j]
+            if cover[i] >= (0.6 if len(t) >= 30 else 0.9) * len(t):
+                begin, end, c = found[first[i]][0], s + n, min(cover[i], len(t))
+                out.append((-(2 * c - len(t) - max(0, end - begin - c)), -c / len(t), label, begin, end))
+    kept = []
+    for _, c, label, begin, end in sorted(out):
+        if all(end <= b or begin >= e for b, e, *_ in kept):
+            kept.append((begin, end, label, round(-c, 9)))
+    return sorted(kept)
+
+
 def luhn(digits):
     total = 0
     for k, d in enumerate(map(int, reversed(digits))):

@@ -89,6 +89,53 @@ def test_license_templates(spark):
     assert [s["label"] for s in got[4]["spans"]] == ["bsd", "bsd"]
 
 
+def test_license_kin(spark):
+    """The closest licence is named, not its kin."""
+    kin = {"agpl", "bsd", "bsd-3-clause", "cc-by", "cc-by-nc", "cc-by-nc-sa", "cc-by-nd", "gpl", "isc", "lgpl", "mit"}
+    for label, text in TEMPLATES:
+        if label in kin:
+            spans = licenses.Scanner().scan(licenses.tokens(f"// file of ours {text} and so on"))[1]
+            assert [s[2] for s in spans] == [label], (label, spans)
+    changed = [("This work is licensed under a Creative Commons Attribution-Whatever 4.0 International License", []), ("This work is licensed under a Creative Commons Attribution 3.0 International License", [])]
+    for text, want in changed:
+        assert [s[2] for s in licenses.Scanner().scan(licenses.tokens(text))[1]] == want
+
+
+def test_license_chains_by_hand():
+    """Anchors, chains and the choice between them against plain loops, on texts cut from kin templates."""
+    draw = random.Random(2)
+    base = [draw.choice("abcdefghijklmnopqrstuvwxyz") * draw.randint(1, 2) for _ in range(60)]
+    kin = [list(base), [w if k % 17 else "zz" for k, w in enumerate(base)], base[10:50] + ["q"] * 8, base[:20]]
+    templates = [(f"t{k}", " ".join(w)) for k, w in enumerate(kin)]
+    scanner = licenses.Scanner(templates, ())
+    found_any = 0
+    for _ in range(60):
+        words = []
+        for _ in range(draw.randint(1, 4)):
+            part = list(draw.choice(kin))
+            for _ in range(draw.randint(0, 4)):
+                k = draw.randrange(len(part))
+                part[k : k + draw.randint(0, 2)] = draw.choice([[], ["noise"], ["a", "b"]])
+            words += part + ["other"] * draw.randint(0, 50)
+        got = scanner.scan(words)[1]
+        assert [(s, e, label, round(c, 9)) for s, e, label, c in got] == brute.license_spans(words, [licenses.tokens(t) for _, t in templates], [x for x, _ in templates])
+        found_any += len(got)
+    assert found_any > 60
+
+
+def test_license_long_text():
+    """Work grows with the text, not with its square."""
+    import time
+
+    text = [w for _, t in TEMPLATES for w in licenses.tokens(t)]
+    took = []
+    for times in (5, 20):
+        began = time.process_time()
+        assert len(licenses.Scanner().scan(text * times)[1]) >= 15 * times
+        took.append(time.process_time() - began)
+    assert took[1] < 8 * took[0] + 1
+
+
 def test_matching_statistics():
     scanner = licenses.Scanner((("a", "p q r p q s"), ("b", "q r t p q r p")), ())
     words = "p q r p q r t t p q s q r p p q r p q s".split()
