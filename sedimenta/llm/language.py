@@ -20,7 +20,7 @@ of scored words.  Shuffles are of the sample only.
 Defined cases: a null text, one without a letter, or one of which the model
 knows neither a word nor an n-gram, is ``und`` with score 0;
 without labelled documents every text is; ties go to the first language by
-name; rows that repeat each get a row.
+name; rows that repeat each get a row; columns of any other name play no part.
 """
 
 from __future__ import annotations
@@ -35,7 +35,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import durable, gram, let
+from .common import durable, fields_of, gram, let, whole_row
 
 DOCS_PER_LANG = 2000
 MAX_ITEMS = 200_000
@@ -252,6 +252,12 @@ def predict(docs: DataFrame, model: Model, *keep: str) -> DataFrame:
     return docs.select(*keep, scored("text").alias("_p")).select(*keep, F.col("_p.lang_pred").alias("lang_pred"), F.col("_p.score").alias("score"))
 
 
+def known_rows(docs: DataFrame, model: Model) -> DataFrame:
+    """Rows of ``docs`` whose text has a language of the model, with their own columns only."""
+    judged = predict(docs.select(whole_row(docs).alias("row"), "text"), model, "row")
+    return judged.where(F.col("lang_pred") != "und").select(*fields_of("row", docs.columns))
+
+
 def fit(docs: DataFrame) -> Model:
     items = item_counts(docs.where(~held_out(F.col("doc_id"))))
     return Model([]) if items is None else build(items)

@@ -1,22 +1,30 @@
 """Personal data: candidates, boosted trees and calibrated thresholds, native.
 
 Strict patterns with validators find the base kinds (email, ip, card, phone);
-these spans always stand.  Two broad generators propose more spans, numbers
-and long tokens, that may overlap those and each other's kinds.  Boosted
+these spans always stand.  Broad generators propose more spans, which may
+overlap those and each other: numbers, long tokens, whatever a name such as
+``password`` is given, account numbers and colon-separated addresses.  Boosted
 trees score a candidate by its format and context.  They learn from all
-candidates: one is positive if it holds a valid base span, or if the text
-assigns it by name (``token = "..."``); the name itself is not a feature, so
-that the format speaks for tokens that nothing names.  The trees are fitted
-on half of the documents; the threshold is the least score whose candidates
-and all above reach the wanted precision on the other half.
+candidates.  A number or token is positive if it holds a valid base span or if
+the text assigns it by name (the name itself is not a feature, so that the
+format speaks for tokens that nothing names); a named value if it is quoted or
+has a digit; an account number by its check digits; an address by its form.
+The trees are fitted on half of the documents; the threshold of each generator
+is the least score whose candidates and all above reach the wanted precision on
+the other half.
 
 Features are small integers, so all candidates are summed into cells of equal
 features (one row per cell and half, at most the product of the feature
 ranges, a few hundred in practice), and the fit reads the cells only.  The
 trees become one SQL expression.  No Python runs on the executors.
 
+Names of persons and street addresses are not proposed: nothing in the tables
+could teach or calibrate them.
+
 Defined cases: a null or empty text has no spans; rows that repeat each get a
-row; a table without candidates adds no spans; positions are code points.
+row; a table without candidates adds no spans; positions are code points; of
+overlapping spans all are reported, and the first by start, then kind, is
+redacted; columns of any other name play no part and stay as they are.
 """
 
 from __future__ import annotations
@@ -27,11 +35,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable, let
+from .common import durable, let, quoted, whole_row
 
-#: Kinds in order; the first four are the base.
-KINDS = ("email", "ip", "card", "phone", "number", "secret")
+#: Kinds in order; the first four are the base, then one for each generator.
+KINDS = ("email", "ip", "card", "phone", "number", "secret", "password", "iban", "ipv6")
 BASE = KINDS[:4]
+NUMBERS, TOKENS, NAMED_VALUES, ACCOUNTS, ADDRESSES = range(len(KINDS) - len(BASE))
 
 # Runs begin where no longer run could: possessive loops and look-behind keep
 # long runs linear, and possessive groups do not recurse.
@@ -43,7 +52,13 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 OCTETS = r"^0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})(?:\.0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})){3}$"
 NUMBER = r"[+(]?[0-9][\x20().0-9-]{5,}[0-9]"
 TOKEN = r"(?<![A-Za-z0-9_+/=-])[A-Za-z0-9_+/=-]{16,}+"
-NAMED = r"(?i)(?:token|secret|passw(?:or)?d|api[_-]?key|key)[\x22']?\s*[=:]\s*[\x22']?$"
+_NAME = r"(?:token|secret|passw(?:or)?d|api[_-]?key|key)[\x22']?[\x20\t]{0,3}[=:][\x20\t]{0,3}[\x22']?"
+NAMED = rf"(?i){_NAME}$"
+NAMED_VALUE = rf"(?i)(?<={_NAME})[^\x00-\x20\x22',;]{{4,}}+"
+ACCOUNT = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}+(?:\x20?[A-Z0-9]{1,3})?+(?![A-Za-z0-9])"
+ADDRESS = r"(?<![A-Za-z0-9:.])(?:[0-9A-Fa-f]{0,4}:){2,7}+[0-9A-Fa-f]{0,4}+(?![A-Za-z0-9:])"
+#: Eight groups, or fewer about one double colon.
+ADDRESS_FORM = r"^(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?=(?:[^:]*:){3})(?!.*::.*::)(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,5})?::(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,5})?)$"
 CONTEXT = 20
 
 _SPANS = "array<struct<s:int,e:int,m:string>>"
@@ -100,7 +115,16 @@ def _bucket(value: Column, *edges: int) -> Column:
 
 
 #: Features, all small integers, in the order the trees know them.
-FEATURES = ("gen", "chars", "digits", "letters", "hexadecimal", "separators", "lead", "luhn", "octets", "quoted", "grouped")
+FEATURES = ("gen", "chars", "digits", "letters", "hexadecimal", "separators", "lead", "check", "form", "quoted", "grouped")
+
+
+def account_check(text: Column) -> Column:
+    """Whether an account number leaves 1 by 97, its first four characters read last."""
+    plain = F.replace(text, F.lit(" "), F.lit(""))
+    turned = F.concat(plain.substr(F.lit(5), F.length(plain)), F.substring(plain, 1, 4))
+    chars = F.transform(F.sequence(F.lit(1), F.length(plain)), lambda i: F.ascii(turned.substr(i, F.lit(1))))
+    # A digit counts as one decimal place, a letter (A is 10) as two.
+    return F.aggregate(chars, F.lit(0), lambda n, c: F.when(c < 65, (n * 10 + c - 48) % 97).otherwise((n * 100 + c - 55) % 97)) == 1
 
 
 def _features(gen: int, x: Column, before: Column, after: Column) -> Column:
@@ -114,15 +138,15 @@ def _features(gen: int, x: Column, before: Column, after: Column) -> Column:
         flag(m.rlike("^[0-9a-fA-F]+$")).alias("hexadecimal"),
         _bucket(F.length(m) - F.length(F.regexp_replace(m, r"[\x20().-]", "")), 1, 3, 5).alias("separators"),
         F.when(F.startswith(m, F.lit("+")), 2).when(F.startswith(m, F.lit("(")), 1).otherwise(0).alias("lead"),
-        F.when(d.between(12, 19), flag(F.call_function("luhn_check", digits_of(m)))).otherwise(0).alias("luhn"),
-        flag(m.rlike(OCTETS)).alias("octets"),
+        (flag(account_check(m)) if gen == ACCOUNTS else F.when(d.between(12, 19), flag(F.call_function("luhn_check", digits_of(m)))).otherwise(0)).alias("check"),
+        flag(m.rlike(ADDRESS_FORM if gen == ADDRESSES else OCTETS)).alias("form"),
         (flag(before.rlike(r"[\x22']$")) + flag(after.rlike(r"^[\x22']"))).alias("quoted"),
         flag(m.rlike(r"[0-9]{3,}[\x20.-][0-9]{3,}")).alias("grouped"),
     )
 
 
 def candidates(text: Column) -> Column:
-    """Spans of both generators with features and the naming context."""
+    """Spans of all generators with features and the naming context."""
 
     def described(gen: int, x: Column) -> Column:
         before = F.substring(text, F.greatest(x["s"] - CONTEXT, F.lit(0)) + 1, F.least(x["s"], F.lit(CONTEXT)))
@@ -133,11 +157,19 @@ def candidates(text: Column) -> Column:
             _features(gen, x, before, after).alias("f"),
         )
 
-    tokens = F.filter(matches(text, TOKEN), lambda x: x["m"].rlike("[0-9]"))
-    return F.concat(
-        F.transform(matches(text, NUMBER), lambda x: described(0, x)),
-        F.transform(tokens, lambda x: described(1, x)),
-    )
+    found = {
+        NUMBERS: matches(text, NUMBER),
+        TOKENS: F.filter(matches(text, TOKEN), lambda x: x["m"].rlike("[0-9]")),
+        # A text without any of these has no such spans; the tests are plain searches.
+        NAMED_VALUES: F.when(text.rlike(r"[=:]") & text.rlike(f"(?i){_NAME}"), matches(text, NAMED_VALUE)).otherwise(_none()),
+        ACCOUNTS: F.when(text.rlike("[A-Z]{2}[0-9]{2}"), matches(text, ACCOUNT)).otherwise(_none()),
+        ADDRESSES: F.when(text.rlike(":[0-9A-Fa-f]{0,4}:"), matches(text, ADDRESS)).otherwise(_none()),
+    }
+
+    def of(gen: int):
+        return lambda x: described(gen, x)
+
+    return F.concat(*[F.transform(spans, of(gen)) for gen, spans in found.items()])
 
 
 def _ranked(rank: int):
@@ -162,11 +194,12 @@ def _held(base: Column, x: Column) -> Column:
 
 @dataclass(frozen=True)
 class Trees:
-    """Depth-2 trees as (feature, cut, (feature, cut, low, high) below, above)."""
+    """Depth-2 trees as (feature, cut, (feature, cut, low, high) below, above),
+    and a threshold for each generator."""
 
     bias: float
     trees: tuple
-    threshold: float
+    thresholds: tuple
 
     def score(self, f: Column) -> Column:
         def side(node) -> Column:
@@ -182,7 +215,12 @@ class Trees:
 def fit(rows: DataFrame, rounds: int = 20, rate: float = 0.4, precision: float = 0.98) -> Trees | None:
     """Boosted trees on the cells of one half, threshold from the other."""
     rows = rows.select("_half", "_base", F.explode_outer("_cands").alias("c")).where(F.col("c").isNotNull())
-    rows = rows.select("_half", F.col("c.f").alias("f"), (F.col("c.named") | _held(F.col("_base"), F.col("c"))).cast("int").alias("y"))
+    gen, f = F.col("c.f.gen"), F.col("c.f")
+    positive = (
+        F.when(gen == NAMED_VALUES, (f["quoted"] > 0) | (f["digits"] > 0)).when(gen == ACCOUNTS, f["check"] == 1).when(gen == ADDRESSES, f["form"] == 1)
+        .otherwise(F.col("c.named") | _held(F.col("_base"), F.col("c")))
+    )
+    rows = rows.select("_half", f.alias("f"), positive.cast("int").alias("y"))
     cells = rows.groupBy("_half", *[F.col(f"f.{n}").alias(n) for n in FEATURES]).agg(F.count("*").alias("n"), F.sum("y").alias("p")).collect()
     cells.sort(key=lambda r: tuple(r[n] for n in ("_half", *FEATURES)))
     train = [(tuple(r[n] for n in FEATURES), r["n"], r["p"]) for r in cells if r["_half"] == 0]
@@ -228,8 +266,9 @@ def fit(rows: DataFrame, rounds: int = 20, rate: float = 0.4, precision: float =
                 scores[i] += low if train[i][0][k2] <= cut2 else high
             sides.append((FEATURES[k2], cut2, low, high))
         trees.append((FEATURES[k], cut, *sides))
-    model = Trees(bias, tuple(trees), 0.0)
-    return Trees(bias, tuple(trees), _threshold(model, check or train, precision))
+    model = Trees(bias, tuple(trees), ())
+    of = lambda cells, gen: [c for c in cells if c[0][0] == gen]
+    return Trees(bias, tuple(trees), tuple(_threshold(model, of(check, g) or of(train, g), precision) for g in range(len(KINDS) - len(BASE))))
 
 
 def _score_one(model: Trees, x: tuple) -> float:
@@ -256,10 +295,11 @@ def _threshold(model: Trees, cells: list, precision: float) -> float:
 
 def all_spans(base: Column, cands: Column, model: Trees | None) -> Column:
     """Base spans and those the model adds, by start, then kind."""
-    if model is None or not math.isfinite(model.threshold):
+    if model is None or not any(map(math.isfinite, model.thresholds)):
         return base
     inside = lambda c: F.exists(base, lambda b: (b["s"] <= c["s"]) & (b["e"] >= c["e"]))
-    chosen = F.filter(cands, lambda c: ~inside(c) & (model.score(c["f"]) >= model.threshold))
+    least = F.array(*[F.lit(t) for t in model.thresholds])
+    chosen = F.filter(cands, lambda c: ~inside(c) & (model.score(c["f"]) >= F.get(least, c["f"]["gen"])))
     return F.array_sort(F.concat(base, F.transform(chosen, lambda c: F.struct(c["s"].alias("s"), (c["f"]["gen"] + len(BASE)).alias("r"), c["e"].alias("e")))))
 
 
@@ -290,7 +330,7 @@ def report(found: DataFrame) -> DataFrame:
 def redact(docs: DataFrame) -> DataFrame:
     """``docs`` with each span replaced by its kind in brackets."""
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
-    found = detect(docs, *docs.columns)
+    found = detect(docs.select(whole_row(docs).alias("row"), "text"), "row", "text")
     pieces = F.aggregate(
         "spans",
         F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<string>)").alias("out")),
@@ -301,4 +341,4 @@ def redact(docs: DataFrame) -> DataFrame:
         lambda acc: F.concat(F.array_join(acc["out"], ""), F.col("text").substr(acc["at"] + 1, F.length("text"))),
     )
     text = F.when(F.size("spans") > 0, pieces).otherwise(F.col("text"))
-    return found.withColumn("text", text).select(*docs.columns)
+    return found.select(*[(text if c == "text" else F.col(f"row.{quoted(c)}")).alias(c) for c in docs.columns])

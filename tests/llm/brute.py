@@ -1,7 +1,11 @@
 """Plain Python versions of the digest queries."""
 
 import hashlib
+import math
 import re
+from collections import Counter
+
+import regex
 
 BLANK_WORD = re.compile(r"[^\x20\x09-\x0D]+")
 TOKEN = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -98,6 +102,88 @@ def pii(text):
     return [sum(r == k for _, r, _ in out) for k in range(4)], sha(",".join(written)), written
 
 
+_NAME = r"(?:token|secret|passw(?:or)?d|api[_-]?key|key)[\x22']?[\x20\t]{0,3}[=:][\x20\t]{0,3}[\x22']?"
+GENERATORS = (
+    r"[+(]?[0-9][\x20().0-9-]{5,}[0-9]",
+    r"(?<![A-Za-z0-9_+/=-])[A-Za-z0-9_+/=-]{16,}+",
+    rf"(?i)(?<={_NAME})[^\x00-\x20\x22',;]{{4,}}+",
+    r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}+(?:\x20?[A-Z0-9]{1,3})?+(?![A-Za-z0-9])",
+    r"(?<![A-Za-z0-9:.])(?:[0-9A-Fa-f]{0,4}:){2,7}+[0-9A-Fa-f]{0,4}+(?![A-Za-z0-9:])",
+)
+
+
+def pii_candidates(text):
+    """(generator, start, end, named, features but the first) of each candidate."""
+    text, out = text or "", []
+    octet = lambda x: x.isascii() and x.isdigit() and int(x) <= 255
+    bucket = lambda n, *edges: sum(n >= e for e in edges)
+    for gen, pattern in enumerate(GENERATORS):
+        for m in regex.finditer(pattern, text):
+            x, s, e = m[0], m.start(), m.end()
+            digits = re.sub("[^0-9]", "", x)
+            if gen == 1 and not digits:
+                continue
+            check = 12 <= len(digits) <= 19 and luhn(digits)
+            form = len(x.split(".")) == 4 and all(map(octet, x.split(".")))
+            if gen == 3:
+                flat = x.replace(" ", "")
+                check = int("".join(str(int(c, 36)) for c in flat[4:] + flat[:4])) % 97 == 1
+            if gen == 4:
+                groups = x.split(":")
+                form = len(groups) == 8 and all(groups) if "::" not in x else x.count("::") == 1 and ":::" not in x and x.count(":") >= 3 and not (x[0] == ":" != x[1] or x[-1] == ":" != x[-2]) and all(len([g for g in side.split(":") if g]) <= 6 for side in x.split("::"))
+            quotes = (text[s - 1 : s] in ("'", '"') and s > 0) + (text[e : e + 1] in ("'", '"') and e < len(text))
+            features = (
+                bucket(len(x), 9, 12, 16, 20, 32, 41), bucket(len(digits), 1, 7, 9, 12, 16, 20), bool(re.search("[A-Za-z]", x)), bool(re.fullmatch("[0-9a-fA-F]+", x)),
+                bucket(len(re.sub(r"[^\x20().-]", "", x)), 1, 3, 5), {"+": 2, "(": 1}.get(x[0], 0), check, form, quotes, bool(re.search(r"[0-9]{3,}[\x20.-][0-9]{3,}", x)),
+            )
+            out.append((gen, s, e, bool(regex.search(f"(?i){_NAME}$", text[max(0, s - 20) : s])), *map(int, features)))
+    return out
+
+
+def language_model(labelled, longest, prior):
+    """A function from a text to (language, score), from (language, text) by plain counting."""
+    letters = regex.compile(r"\p{L}+")
+    langs = sorted({x for x, _ in labelled})
+    counts = [Counter() for _ in range(longest + 1)]
+    grams = lambda w, n: [w[i : i + n] for w in ([f"^{w}$"] if n > 1 else [w]) for i in range(len(w) - n + 1)]
+    for lang, text in labelled:
+        for word, times in Counter(letters.findall(text.lower())).items():
+            counts[0][word, lang] += times
+            for n in range(1, longest + 1):
+                for g in grams(word, n):
+                    counts[n][g, lang] += times
+    totals = [{x: sum(c for (_, lang), c in table.items() if lang == x) for x in langs} for table in counts]
+    named = [{item for item, _ in table} for table in counts]
+
+    def logs(n, item):
+        mean = sum(counts[n][item, x] / totals[n][x] for x in langs) / len(langs)
+        return [math.log((counts[n][item, x] + prior * mean) / (totals[n][x] + prior) / mean) for x in langs]
+
+    seen = {}
+
+    def word_logs(word):
+        if word not in seen:
+            seen[word] = None
+            for n, items in [(0, [word])] + [(n, grams(word, n)) for n in range(longest, 0, -1)]:
+                hits = [logs(n, g) for g in items if g in named[n]]
+                if hits:
+                    seen[word] = [sum(x) / len(hits) for x in zip(*hits)]
+                    break
+        return seen[word]
+
+    def predict(text):
+        words = letters.findall((text or "").lower()) if text and any(map(str.isalpha, text)) else []
+        found = [x for w in words if (x := word_logs(w))]
+        if not found:
+            return "und", 0.0
+        total = [sum(x) for x in zip(*found)]
+        best = max(total)
+        odds = sum(math.exp((t - best) / len(words) * min(len(words), 30)) for t in total)
+        return langs[total.index(best)], 1 / odds
+
+    return predict
+
+
 def benchmark_hits(text, items):
     words, hit, found = tokens(text), set(), set()
     for item, item_text in items:

@@ -173,6 +173,49 @@ def test_pii_learns_secrets(spark):
     assert clean[1002] == "mail [EMAIL] now" and clean[1001] == rows[301][1] and '"[SECRET]"' in clean[1]
 
 
+def test_pii_candidates_and_scores(spark, docs, hard):
+    """Generators, features and the choice again in Python, over documents and hard rows."""
+    made = ["password = hunter2, key: the door, api_key='abcd'", 'Secret: "only letters here" token=' + "ab" * 20, "IBAN GB82 WEST 1234 5698 7654 32 or GB82WEST12345698765433", "at 12:34:56 2001:0db8:85a3:0000:0000:8a2e:0370:7334 and fe80::1:2:3 std::string a::b"]
+    rows = docs.select("doc_id", "text").unionByName(hard.select("doc_id", "text")).unionByName(spark.createDataFrame([(9000 + k, t) for k, t in enumerate(made)], "doc_id long, text string"))
+    noted = pii.annotated(rows, "doc_id", "text").collect()
+    model = pii.fit(pii.annotated(rows, "doc_id"))
+    scores = {}
+    for r in noted:
+        got = sorted((c["f"]["gen"], c["s"], c["e"], c["named"], *[c["f"][n] for n in pii.FEATURES[1:]]) for c in r["_cands"])
+        assert got == sorted(brute.pii_candidates(r["text"])), r["text"]
+        spans = [(b["s"], b["r"], b["e"]) for b in r["_base"]]
+        for c in r["_cands"]:
+            f = tuple(c["f"][n] for n in pii.FEATURES)
+            if not any(b["s"] <= c["s"] and b["e"] >= c["e"] for b in r["_base"]) and pii._score_one(model, f) >= model.thresholds[f[0]] - 1e-9:
+                spans.append((c["s"], f[0] + 4, c["e"]))
+        scores.setdefault(r["doc_id"], []).append(",".join(f"{pii.KINDS[k]}:{s}:{e}" for s, k, e in sorted(spans)))
+    got = {}
+    for r in pii.report(pii.detect(rows, "doc_id")).collect():
+        got.setdefault(r["doc_id"], []).append(r["spans"])
+    assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in scores.items()}
+
+
+def test_pii_named_accounts_and_addresses(spark):
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+
+    def iban():
+        body = "".join(rng.choice("0123456789") for _ in range(18))
+        return f"DE{98 - int(body + '131400') % 97:02d}{body}"
+
+    rows = []
+    for k in range(200):
+        v6 = ":".join(f"{rng.randrange(65536):x}" for _ in range(8))
+        rows.append((k, [f'my password = "{word()}" {word()}', f"the key: {word()} of it", f"pay {iban()} now", f"from {v6} at 10:20:30", f"pay DE00{'1' * 18} now"][k % 5]))
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("spans", F.lit("s")).withColumn("base", F.lit(1)).withColumn("_half", F.lit(2)).withColumn("row", F.lit(3))
+    clean = pii.redact(df)
+    assert clean.columns == df.columns and clean.where("spans = 's' and base = 1 and _half = 2 and row = 3").count() == 200
+    got = {r["doc_id"]: r["text"] for r in clean.collect()}
+    for k, text in rows:
+        want = [None, text, "pay [IBAN] now", "from [IPV6] at 10:20:30", text][k % 5]
+        assert got[k] == want if want else got[k].startswith('my password = "[PASSWORD]" ')
+
+
 def test_language_held_out(spark, sf_dir):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = queries.op4_language_id(spark, "/root/testdata/sf0.01").join(docs.select("doc_id", "lang"), "doc_id").where("held_out and lang is not null").collect()
@@ -220,6 +263,17 @@ def test_language_keeps_uneven_languages(spark, monkeypatch):
         assert [scorer.predict(text(lang, 8))[0] for _ in range(50)] == [lang] * 50
 
 
+def test_language_by_hand(spark, docs, hard):
+    """Counts, smoothing, backoff and scores again in plain Python."""
+    rows = docs.select("doc_id", "lang", "text").unionByName(hard.select("doc_id", "lang", "text"))
+    labelled = [(r["lang"], r["text"]) for r in rows.where(~language.held_out(F.col("doc_id"))).collect() if r["lang"] is not None and r["text"] is not None]
+    predicted = brute.language_model(labelled, language.LONGEST, language.PRIOR)
+    known = {}
+    for r in language.predict(rows, language.fit(rows), "doc_id", "text").collect():
+        want = known.setdefault(r["text"], predicted(r["text"]))
+        assert r["lang_pred"] == want[0] and r["score"] == pytest.approx(want[1], abs=1e-3)
+
+
 def test_language_backs_off():
     model = language.Model([{"lang": "a", "word": "lopetu", "n": 5}, {"lang": "b", "word": "mirzak", "n": 5}])
     assert language.Scorer(model).predict("lopetz petul")[0] == "a" and language.Scorer(model).predict("zakmir")[0] == "b"

@@ -76,10 +76,23 @@ def test_stages_on_nothing(spark, sf_dir):
         assert docs.count() == 0
 
 
+CLASHES = ("n", "id", "score", "lang_pred", "_p", "spans", "base", "_half", "_name", "_n", "copy", "row", "row_a", "root", "text_key", "kind", "path")
+
+
 def test_stages_on_hard_rows(spark, sf_dir):
-    rows = [(1, None, None, None, None), (2, "", "en", "a", 0), (2, "", "en", "a", 0), (3, "the same text of a few words", None, "b", 1), (4, "The same text of a few words", "en", None, 1), (4, "the same text of a few words", "en", "b", 1)]
-    docs = spark.createDataFrame([(*r, "x", "y") for r in rows], "doc_id long, text string, lang string, source string, n_chars long, n string, id string")
-    for _, stage in corpus_pipeline.STAGES:
+    """Nulls, empty texts, ids that repeat, and columns called as the stages' own."""
+    texts = ["some of the words that many documents have in them", "other words of the same length that nobody else wrote down", "a third text with more words than the first one had"]
+    rows = [(1, None, None, None, None), (2, "", "en", "a", 0), (2, "", "en", "a", 0), (3, texts[0], None, "b", 1), (4, texts[0].upper(), "en", None, 1), (4, texts[1], "en", "b", 1), (4, texts[1], "en", "b", 1), (None, texts[2], "en", "b", 1), (4, texts[2], "en", "c", 1)]
+    docs = spark.createDataFrame([(*r, *CLASHES) for r in rows], "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{c}` string" for c in CLASHES))
+    columns = docs.columns
+    kept = []
+    for name, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, sf_dir)
-        assert {"doc_id", "text", "lang", "source", "n_chars", "n", "id"} <= set(docs.columns)
-    assert {r["doc_id"] for r in docs.collect()} <= {3}
+        assert docs.columns == (columns if name != "mix" else [*columns, "copy_"])
+        got = docs.collect()
+        assert all(r[c] == c for r in got for c in CLASHES)
+        kept.append(sorted({(r["doc_id"] or 0, r["text"]) for r in got}))
+        docs = spark.createDataFrame(got, docs.schema)
+    assert kept[0] == [(0, texts[2]), (3, texts[0]), (4, texts[0].upper()), (4, texts[1]), (4, texts[2])]
+    assert kept[1] == [(3, texts[0]), (4, texts[1]), (4, texts[2])] == kept[2] == kept[3]
+    assert set(kept[4]) <= set(kept[3])
