@@ -7,12 +7,15 @@ costs one stage at most.
 
 1. ``language`` drops documents of no language: without a letter, or with
    nothing in them that the model knows.
-2. ``near_duplicates`` keeps one document, the least ``doc_id``, of each class
-   of texts linked by 5-word shingles at a similarity of 0.8.
+2. ``near_duplicates`` keeps one document, that of the least ``doc_id``, of each
+   class of texts linked by 5-word shingles at a similarity of 0.8.
 3. ``decontaminate`` drops documents that hold a window of the benchmark.
 4. ``pii`` puts ``[KIND]`` in place of personal data; ``n_chars`` follows.
 5. ``mix`` takes documents by source towards the target weights; ``copy``
    numbers the repeats of a document from 1.
+
+Ids may repeat or be missing: documents are told apart by their texts, and rows
+by all their columns, which every stage passes on whatever their names.
 """
 
 from __future__ import annotations
@@ -27,8 +30,7 @@ from sedimenta.llm.common import shared_folder, table
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    scored = language.predict(docs, language.fit(docs), *docs.columns)
-    return scored.where(F.col("lang_pred") != "und").select(*docs.columns)
+    return language.known_rows(docs, language.fit(docs))
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
