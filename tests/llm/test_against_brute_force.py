@@ -1,7 +1,9 @@
 """Each digest query against plain Python, on a whole small table and on hard rows."""
 
 import math
+import os
 import random
+from collections import Counter
 
 import duckdb
 import pytest
@@ -562,7 +564,6 @@ def test_chat_windows(spark):
 @pytest.mark.parametrize("name", ["op1_quality_rules", "op5_mixing", "op7_url_rules", "op8_decontaminate", "op9_chat_format"])
 def test_sql_agrees(spark, sf_dir, name):
     import glob
-    import os
 
     con = duckdb.connect()
     for f in glob.glob(f"{sf_dir}/*.parquet"):
@@ -619,6 +620,28 @@ def test_similarity_join_large_groups(spark, monkeypatch):
     same([tuple(r) for r in got], brute.similarity_classes(rows))
 
 
+def test_similarity_join_recall(spark):
+    """Links of the rows whose id is divisible by 50, against all rows."""
+    folder = os.environ.get("RECALL_SF_DIR", "/root/testdata/sf0.01")
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    found = {r["doc_id"]: r["n_links"] for r in similarity_join.join_texts(docs).collect()}
+    sets = {r["doc_id"]: brute.shingle_set(r["text"]) for r in docs.collect()}
+    holders = {}
+    for s in set(sets.values()):
+        for g in s:
+            holders.setdefault(g, []).append(s)
+    right = wanted = 0
+    for d, s in sets.items():
+        if d % 50 == 0 and s:
+            common = Counter(id(o) for g in s for o in holders[g])
+            sizes = {id(o): len(o) for g in s for o in holders[g]}
+            links = sum(c >= 0.8 * (len(s) + sizes[o] - c) - 1e-9 for o, c in common.items()) - 1  # without itself
+            right, wanted = right + min(found[d], links), wanted + links
+            assert found[d] <= links
+    print(f"recall {right} of {wanted}")
+    assert wanted and right >= 0.9 * wanted
+
+
 def test_components(spark):
     edges = spark.createDataFrame([(k, k + 1) for k in range(0, 60)] + [(100, 101), (7, 7), (103, 101)], "a long, b long")
     got = {r["id"]: r["root"] for r in similarity_join.components(edges).collect()}
