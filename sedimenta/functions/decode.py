@@ -11,6 +11,8 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .bind import let
+
 
 def as_hex(b: Column) -> Column:
     return F.lower(F.hex(b))
@@ -73,16 +75,54 @@ def varint(b: Column) -> Column:
     return F.when((n >= 1) & (n <= 15), F.when(negative, big(value) - powers).otherwise(big(value)).cast("decimal(38,0)"))
 
 
+def _limbs(limbs: Column, times: int, plus: Column) -> Column:
+    """``limbs * times + plus`` of a number in limbs of nine digits, least first."""
+
+    def step(acc: Column, limb: Column) -> Column:
+        return let(
+            limb * times + acc["carry"],
+            lambda v: F.struct(F.floor(v / 10**9).alias("carry"), F.concat(acc["out"], F.array(v % 10**9)).alias("out")),
+        )
+
+    start = F.struct(plus.cast("long").alias("carry"), F.expr("cast(array() as array<bigint>)").alias("out"))
+    return F.aggregate(limbs, start, step, lambda acc: F.when(acc["carry"] > 0, F.concat(acc["out"], F.array(acc["carry"]))).otherwise(acc["out"]))
+
+
+def _long_varint_text(b: Column) -> Column:
+    negative = unsigned(F.substring(b, 1, 1)) >= 128
+    of = lambda i: unsigned(b.substr(i, F.lit(1)))
+    # A negative number's magnitude is one more than its complement.
+    plain = F.transform(F.sequence(F.lit(1), F.length(b)), lambda i: F.when(negative, 255 - of(i)).otherwise(of(i)))
+    limbs = F.aggregate(plain, F.array(F.lit(0).cast("long")), lambda acc, x: _limbs(acc, 256, x))
+    limbs = F.reverse(_limbs(limbs, 1, F.when(negative, 1).otherwise(0)))
+    digits = F.array_join(F.transform(limbs, lambda x: F.lpad(x.cast("string"), 9, "0")), "")
+    return F.concat(F.when(negative, "-").otherwise(""), F.regexp_replace(digits, "^0+(?=[0-9])", ""))
+
+
+def varint_text(b: Column) -> Column:
+    """Two's complement of any length as decimal text; null without bytes."""
+    return F.when(F.length(b) > 15, _long_varint_text(b)).otherwise(varint(b).cast("string"))
+
+
+#: Zeros that are written out for a scale; beyond, an exponent stands.
+MOST_ZEROS = 1000
+
+
 def decimal_text(b: Column) -> Column:
-    """A decimal (4 bytes of scale, then a varint) as plain text."""
-    scale, unscaled = signed(F.substring(b, 1, 4), 4).cast("int"), varint(b.substr(F.lit(5), F.length(b)))
-    digits = F.abs(unscaled).cast("string")
-    padded = F.when(F.length(digits) <= scale, F.concat(F.repeat(F.lit("0"), scale - F.length(digits) + 1), digits)).otherwise(digits)
-    sign = F.when(unscaled < 0, "-").otherwise("")
-    point = F.length(padded) - scale
-    return F.when(scale <= 0, F.concat(sign, digits, F.when(unscaled == 0, "").otherwise(F.repeat(F.lit("0"), -scale)))).otherwise(
-        F.concat(sign, padded.substr(F.lit(1), point), F.lit("."), padded.substr(point + 1, scale))
-    )
+    """A decimal (4 bytes of scale, then a number of any length) as text, exactly."""
+    scale = signed(F.substring(b, 1, 4), 4).cast("int")
+
+    def shown(number: Column) -> Column:
+        digits, sign = F.replace(number, F.lit("-"), F.lit("")), F.when(F.startswith(number, F.lit("-")), "-").otherwise("")
+        padded = F.when(F.length(digits) <= scale, F.concat(F.repeat(F.lit("0"), scale - F.length(digits) + 1), digits)).otherwise(digits)
+        point = F.length(padded) - scale
+        return (
+            F.when(F.abs(scale.cast("long")) > MOST_ZEROS, F.concat(sign, digits, F.lit("E"), (-scale.cast("long")).cast("string")))
+            .when(scale <= 0, F.concat(sign, digits, F.when(digits == "0", "").otherwise(F.repeat(F.lit("0"), -scale))))
+            .otherwise(F.concat(sign, padded.substr(F.lit(1), point), F.lit("."), padded.substr(point + 1, scale)))
+        )
+
+    return F.when(F.length(b) > 4, let(varint_text(b.substr(F.lit(5), F.length(b))), shown))
 
 
 def uuid_text(b: Column) -> Column:
@@ -121,7 +161,7 @@ _TEXT = {
     "UUIDType": uuid_text,
     "TimeUUIDType": uuid_text,
     "LexicalUUIDType": uuid_text,
-    "IntegerType": lambda b: varint(b).cast("string"),
+    "IntegerType": varint_text,
     "DecimalType": decimal_text,
     "DateType": lambda b: signed(b, 8).cast("string"),
     "TimestampType": lambda b: signed(b, 8).cast("string"),
@@ -139,8 +179,8 @@ _VALUE = {
     "DoubleType": double_of,
     "UUIDType": uuid_text,
     "TimeUUIDType": uuid_text,
-    "IntegerType": varint,
-    "DecimalType": lambda b: decimal_text(b).cast("decimal(38,18)"),
+    "IntegerType": varint_text,  # of any length and scale, so as text
+    "DecimalType": decimal_text,
     "DateType": lambda b: signed(b, 8),  # epoch milliseconds
     "TimestampType": lambda b: signed(b, 8),
 }
@@ -189,20 +229,143 @@ def value_of(b: Column, type_name: str) -> Column:
     return _VALUE[name](b)
 
 
+# ------------------------------------------------------------------ order by type
+
+
+def _reversed_bytes(b: Column) -> Column:
+    """Complements of the bytes and a mark above them all, as a longer name comes first."""
+    return F.concat(F.transform(_bytes(b), lambda x: 255 - x), F.array(F.lit(256).cast("long")))
+
+
+def _bytes(b: Column) -> Column:
+    return F.when(F.length(b) > 0, F.transform(F.sequence(F.lit(1), F.length(b)), lambda i: unsigned(b.substr(i, F.lit(1))))).otherwise(F.expr("cast(array() as array<bigint>)"))
+
+
+def _turned(number: Column, back: bool) -> Column:
+    return F.bitwise_not(number) if back else number
+
+
+def _whole(width: int):
+    return lambda b, back: [_turned(signed(b, width), back)]
+
+
+def _floating(width: int):
+    def order(b: Column, back: bool) -> list[Column]:
+        # As signed numbers the bits are in order but for negative ones, which are turned round; NaN is above all.
+        top = 2 ** (8 * width - 1) - 1
+        infinite = 0x7FF0000000000000 if width == 8 else 0x7F800000
+        bits = signed(b, width)
+        plain = bits.bitwiseAND(F.lit(top).cast("long"))
+        key = F.when(plain > infinite, F.lit(top).cast("long")).when(bits < 0, bits.bitwiseXOR(F.lit(top).cast("long"))).otherwise(bits)
+        return [_turned(key, back)]
+
+    return order
+
+
+def _any_whole(b: Column, back: bool) -> list[Column]:
+    # The shortest form: more bytes are further from zero, equally many are in order.
+    negative = unsigned(F.substring(b, 1, 1)) >= 128
+    short = F.when(negative, F.regexp_replace(F.hex(b), "^(?:FF)+(?=[89A-F].)", "")).otherwise(F.regexp_replace(F.hex(b), "^(?:00)+(?=[0-7].)", ""))
+    far = F.length(short) * F.when(negative, -1).otherwise(1)
+    if back:
+        return [F.when(F.length(b) > 0, -far), F.translate(short, "0123456789ABCDEF", "FEDCBA9876543210")]
+    return [F.when(F.length(b) > 0, far), short]
+
+
+def _any_decimal(b: Column, back: bool) -> list[Column]:
+    scale = signed(F.substring(b, 1, 4), 4)
+    number = F.when(F.length(b) > 4, varint_text(b.substr(F.lit(5), F.length(b))))
+    digits = F.replace(number, F.lit("-"), F.lit(""))
+    sign = F.when(digits == "0", 0).when(F.startswith(number, F.lit("-")), -1).otherwise(1) * (-1 if back else 1)
+    size = F.when(digits == "0", 0).otherwise(F.length(digits) - scale)
+    shown = F.regexp_replace(digits, "0+$", "")
+    shown = F.when(sign < 0, F.concat(F.translate(shown, "0123456789", "9876543210"), F.lit("~"))).otherwise(shown)
+    return [F.when(number.isNotNull(), sign), sign * size, shown]
+
+
+def _clock(b: Column) -> Column:
+    """The time of a UUID of version 1."""
+    return F.conv(F.concat(F.substring(F.hex(b), 14, 3), F.substring(F.hex(b), 9, 4), F.substring(F.hex(b), 1, 8)), 16, 10).cast("long")
+
+
+def _time_uuid(b: Column, back: bool) -> list[Column]:
+    order = F.transform(_bytes(b), lambda x: (x + 128) % 256)
+    return [F.when(F.length(b) == 16, _turned(_clock(b), back)), F.transform(order, lambda x: 255 - x) if back else order]
+
+
+def _uuid(b: Column, back: bool) -> list[Column]:
+    version = F.when(F.length(b) == 16, F.conv(F.substring(F.hex(b), 13, 1), 16, 10).cast("long"))
+    return [_turned(version, back), F.when(version == 1, _turned(_clock(b), back)), _reversed_bytes(b) if back else b]
+
+
+def _lexical_uuid(b: Column, back: bool) -> list[Column]:
+    halves = [unsigned(F.substring(b, at, 8)) for at in (1, 9)]
+    return [F.when(F.length(b) == 16, _turned(h, back)) for h in halves]
+
+
+_ORDER = {
+    "Int32Type": _whole(4), "LongType": _whole(8), "CounterColumnType": _whole(8), "DateType": _whole(8), "TimestampType": _whole(8), "BooleanType": _whole(1),
+    "FloatType": _floating(4), "DoubleType": _floating(8), "IntegerType": _any_whole, "DecimalType": _any_decimal,
+    "TimeUUIDType": _time_uuid, "UUIDType": _uuid, "LexicalUUIDType": _lexical_uuid,
+}
+
+
+def _part_order(b: Column, kind: tuple) -> Column:
+    """A struct that orders as the type does: what does not decode first, by
+    its bytes; the other way round for a reversed type."""
+    back = False
+    while kind[0] == "ReversedType":
+        back, kind = not back, kind[1][0]
+    by_bytes = _reversed_bytes(b) if back else b
+    if kind[0] not in _ORDER:
+        return F.struct(by_bytes.alias("bytes"))
+    keys = _ORDER[kind[0]](b, back)
+    known = F.when(keys[0].isNull(), 0).otherwise(-1 if back else 1)
+    return F.struct(known.alias("known"), *[k.alias(f"k{n}") for n, k in enumerate(keys)], F.when(keys[0].isNull(), by_bytes).alias("bytes"))
+
+
+def composite_ends(b: Column, arity: int) -> Column:
+    """``parts``: the first components with their end byte as a sign; ``at``: where the rest begins."""
+
+    def step(acc: Column, _: Column) -> Column:
+        at = acc["at"]
+        size = F.when(F.length(b) >= at + 1, unsigned(b.substr(at, F.lit(2))).cast("int"))
+        part = F.when(F.length(b) >= at + 1 + size, b.substr(at + 2, size))
+        end = F.signum(signed(b.substr(at + 2 + size, F.lit(1)), 1)).cast("int")
+        return F.struct(F.coalesce(at + 3 + size, F.length(b) + 1).alias("at"), F.concat(acc["parts"], F.array(F.struct(part.alias("part"), end.alias("end")))).alias("parts"))
+
+    start = F.struct(F.lit(1).alias("at"), F.expr("cast(array() as array<struct<part:binary,end:int>>)").alias("parts"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(arity)), start, step)
+
+
 def sort_value(b: Column, type_name: str) -> Column:
-    """An expression that orders bytes as their type does."""
-    kind = _base(parse_type(type_name))
-    if kind[0] == "CompositeType":
-        parts = composite_parts(b, len(kind[1]))
-        return F.struct(*[_sort_part(F.get(parts, F.lit(k)), k2).alias(f"p{k}") for k, k2 in enumerate(kind[1])])
-    return _sort_part(b, kind)
-
-
-def _sort_part(b: Column, kind: tuple) -> Column:
-    name, _ = _base(kind)
-    if name in ("Int32Type", "LongType", "DateType", "TimestampType", "DoubleType", "FloatType", "IntegerType", "BooleanType"):
-        return _VALUE[name](b)
-    return b
+    """An expression that orders bytes as their type does, bounds of ranges too.
+
+    Composites go part by part: a missing part before any, then the part, then
+    the end byte, by which a bound stands before or after all names that begin
+    with it; static names stand before all others.
+    """
+    kind = parse_type(type_name)
+    if _base(kind)[0] != "CompositeType":
+        return _part_order(b, kind)
+    if kind[0] == "ReversedType":
+        raise ValueError(f"no order for {type_name}")
+    arity = len(kind[1])
+    static = F.hex(F.substring(b, 1, 2)) == "FFFF"
+
+    def order(c: Column) -> Column:
+        def part(k: int) -> Column:
+            x = F.get(c["parts"], F.lit(k))
+            return F.struct(F.when(x["part"].isNull(), 0).otherwise(1).alias("there"), _part_order(x["part"], kind[1][k]).alias("key"), x["end"].alias("end"))
+
+        return F.struct(F.when(static, 0).otherwise(1).alias("regular"), *[part(k).alias(f"p{k}") for k in range(arity)], b.substr(c["at"] + F.when(static, 2).otherwise(0), F.length(b)).alias("rest"))
+
+    return let(composite_ends(F.when(static, F.substring(b, F.lit(3), F.length(b))).otherwise(b), arity), order)
+
+
+def in_order_of(type_name: str):
+    """A function from bytes to what they sort by under the type."""
+    return (lambda b: b) if type_name.rsplit(".", 1)[-1] in ("BytesType", "UTF8Type", "AsciiType") else (lambda b: sort_value(b, type_name))
 
 
 # ---------------------------------------------------------------- casts from hex text

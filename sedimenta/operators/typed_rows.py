@@ -10,7 +10,7 @@ from __future__ import annotations
 import json
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.ddl import Table, require_exportable
@@ -45,17 +45,23 @@ def typed_rows(atoms: DataFrame, table: Table, now: int | None = None) -> DataFr
         marked.alias("_static"), F.when(marked, shift).otherwise(parts).alias("_p"),
     )
     column = utf8_text(F.get("_p", F.lit(n)))
-    clustering = [F.get("_p", F.lit(k)).alias(f"_c{k}") for k in range(n)]
+    # Static cells of a partition are one group, whatever stands in their empty parts.
+    clustering = [F.when(~F.col("_static"), F.get("_p", F.lit(k))).alias(f"_c{k}") for k in range(n)]
     named = named.select("row_key", "_source", "ts", "value", "_static", column.alias("_column"), *clustering)
 
     def latest(name: str) -> Column:
         return value_of(F.max_by(F.when(F.col("_column") == name, F.col("value")), F.when(F.col("_column") == name, F.struct("ts", "value"))), table.stored(name)).alias(name)
 
-    rows = named.where(~F.col("_static")).groupBy("row_key", "_source", *[f"_c{k}" for k in range(n)]).agg(F.lit(True).alias("_row"), *[latest(c) for c in table.regular])
-    statics = named.where("_static").groupBy("row_key", "_source").agg(F.lit(True).alias("_any"), *[latest(c) for c in table.static])
-    joined = rows.join(statics, ["row_key", "_source"], "full" if table.static else "left")
+    if not table.static:
+        named = named.where(~F.col("_static"))
+    rows = named.groupBy("row_key", "_source", "_static", *[f"_c{k}" for k in range(n)]).agg(*[latest(c) for c in (*table.regular, *table.static)])
+    if table.static:
+        # The static group leads its partition: its values run on, and it stays only if nothing follows.
+        along = Window.partitionBy("row_key", "_source").orderBy(F.desc("_static"))
+        carried = {c: F.first(F.when(F.col("_static"), F.col(c)), ignorenulls=True).over(along.rowsBetween(Window.unboundedPreceding, 0)) for c in table.static}
+        rows = rows.withColumns(carried | {"_next": F.lead(F.lit(1)).over(along)}).where(~F.col("_static") | F.col("_next").isNull())
     decoded = [value_of(F.col(f"_c{k}"), table.stored(c)).alias(c) for k, c in enumerate(table.clustering)]
-    return joined.select(*_keys(table, F.col("row_key")), *decoded, *table.regular, *table.static)
+    return rows.select(*_keys(table, F.col("row_key")), *decoded, *table.regular, *table.static)
 
 
 def avro_to_ddl(schema_json: str) -> list[tuple[str, str]]:

@@ -1,4 +1,4 @@
-"""Whole jobs: snapshot of table files, typed export, load of a snapshot."""
+"""Whole jobs: snapshot of table files, typed export, copy of files."""
 
 from __future__ import annotations
 
@@ -8,9 +8,12 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.ddl import parse_create
-from ..functions.decode import signed_order, sort_value
-from ..operators.compact import Options, check_errors, compact
+from ..functions.decode import signed_order
+from ..model import ERROR
+from ..operators.compact import Options, compact, require_allowed
 from ..operators.typed_rows import as_schema, typed_rows, write_rows
+from ..sources import listing
+from ..sources.copy_files import MOST_TASKS, copy_files
 from ..sources.json_snapshot import to_lines
 from ..sources.table_files import read_tables, write_tables
 
@@ -43,23 +46,24 @@ class SnapshotJob:
         return self.key_type, self.name_type
 
 
-def in_key_order(rows: DataFrame) -> DataFrame:
-    """Partitions by key, sorted by its bytes as signed numbers."""
-    return rows.repartition("row_key").sortWithinPartitions(signed_order(F.col("row_key")), "source_path")
+def in_key_order(rows: DataFrame, by_key: bool = False) -> DataFrame:
+    """Partitions by key, sorted by its bytes as signed numbers; ``by_key`` rows
+    are dealt by their key already, as :func:`compact` leaves them without tracing."""
+    return (rows if by_key else rows.repartition("row_key")).sortWithinPartitions(signed_order(F.col("row_key")), "source_path")
 
 
 def snapshot(spark: SparkSession, paths: str | list[str], output: str, job: SnapshotJob = SnapshotJob()) -> dict:
     """Compacts table files into ``output`` and returns the counters.
 
-    Unreadable inputs are counted after the output is written, and fail the
-    job then if they are more than it allows.
+    Unreadable inputs are counted as they are read, in the one pass over the
+    input, and fail the job after the output is written if they are more than
+    it allows.
     """
     options = {"combine": job.combine, "maxcombined": job.max_combined} | ({"blocksize": job.block_size} if job.block_size else {})
     key_type, name_type = job.types()
-    atoms = read_tables(spark, paths, **options)
-    order = None if name_type == "BytesType" else sort_value(F.col("name"), name_type)
-    rows = in_key_order(compact(atoms, Options(job.trace_source, job.max_row_bytes), order))
-    seen = Observation()
+    read, seen = Observation(), Observation()
+    atoms = read_tables(spark, paths, **options).observe(read, F.count_if(F.col("kind") == ERROR).alias("inputs_in_error"))
+    rows = in_key_order(compact(atoms, Options(job.trace_source, job.max_row_bytes, name_type)), not job.trace_source)
     if job.sink == "tables":
         counted = rows.observe(seen, F.count("*").alias("rows_written"), F.lit(0).alias("rows_too_big"))
         write_tables(counted, output, job.mode, version=job.version, dataset=job.dataset)
@@ -67,11 +71,28 @@ def snapshot(spark: SparkSession, paths: str | list[str], output: str, job: Snap
         lines = to_lines(rows, key_type, name_type, job.value_type, job.trace_source, job.legacy_names, job.sort_by_name, job.max_row_bytes)
         counted = lines.observe(seen, F.count("*").alias("rows_written"), F.count_if("too_big").alias("rows_too_big"))
         counted.select("line").write.mode("errorifexists" if job.mode == "append" else job.mode).text(output)
-    errors = check_errors(atoms, job.allowed_errors)
-    return dict(seen.get) | {"inputs_in_error": errors}
+    return dict(seen.get) | {"inputs_in_error": require_allowed(read.get["inputs_in_error"], job.allowed_errors)}
 
 
 def export(spark: SparkSession, paths: str | list[str], create_table: str, output: str, avro_schema: str | None = None, mode: str = "errorifexists", now: int | None = None) -> str:
-    """Typed rows of one format version's files, without merging them."""
+    """Typed rows of one format version's files, without merging them; files of
+    several versions are refused before any is read."""
+    listing.require_one_version(listing.data_files(spark, paths)).count()
     rows = typed_rows(read_tables(spark, paths), parse_create(create_table), now)
     return write_rows(as_schema(rows, avro_schema) if avro_schema else rows, output, mode)
+
+
+def copy(
+    spark: SparkSession, target: str, inputs: str | list[str] | None = None, manifest: str | None = None, base: str | None = None,
+    unsnap: bool = False, overwrite: bool = False, skip_indexes: bool = True, tasks: int = MOST_TASKS,
+) -> dict:
+    """Copies the files below ``inputs``, or those that ``manifest`` names, and
+    returns their number and bytes; exactly one of the two must be given."""
+    if (inputs is None) == (manifest is None):
+        raise ValueError("give either a manifest or input files")
+    files = listing.read_manifest(spark, manifest) if manifest else listing.listing(spark, inputs).select("path")
+    if skip_indexes:
+        files = listing.without_secondary_indexes(files)
+    done = copy_files(files, target, base, unsnap, overwrite, tasks)
+    row = done.agg(F.count("*").alias("files"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")).first()
+    return row.asDict()

@@ -79,7 +79,7 @@ SQL = {
     "q23_distinct_globs": "SELECT DISTINCT regexp_replace(url, '/[^/]*$', '') || '/*-Data.db' AS pattern FROM pages",
     "q24_counters": f"""{_SIZED}
         SELECT count(*) AS rows_written, sum(big)::BIGINT AS rows_too_big, 0::BIGINT AS inputs_in_error FROM (SELECT user_id, max((upto > 1500)::INTEGER) AS big FROM run GROUP BY 1)""",
-    "q25_version_homogeneity": "SELECT source, count(DISTINCT lang) AS versions FROM documents GROUP BY 1",
+    "q25_version_homogeneity": "SELECT 'jb' AS version, count(*) AS files, true AS two_refused FROM orders WHERE o_orderkey % 2 = 0",
     "q26_partition_info": """SELECT 'priority=' || o_orderpriority[1] AS partition, '/w/priority=' || o_orderpriority[1] AS location, count(*) AS files, sum(o_orderkey)::BIGINT AS bytes
         FROM orders GROUP BY 1, 2""",
     "q27_json_round_trip": f"""WITH {_E} SELECT d.user_id, d.deleted_at, event_type, event_id, us, CASE WHEN kind = 'd' THEN 'd' END AS status
@@ -91,4 +91,45 @@ SQL = {
     "q32_library_lines": f"""{_LOADED} SELECT '{{"' || user_id || '": {{"deletedAt": ' || deleted_at || ', "columns": [' ||
         string_agg('["' || event_type || '","' || event_id || '",' || us || ']', ', ' ORDER BY event_type) || ']}}}}' AS line
         FROM loaded WHERE NOT deleted_at > us AND kind <> 'd' GROUP BY user_id, deleted_at""",
+    "q33_packed_files": _Q10,
+    "q34_packed_by_minute": _Q10,
+    "q35_directory_walk": "SELECT 'r=' || n_regionkey || '/n-' || n_nationkey || '-jb-1-Data.db' AS path, length(n_name) AS length FROM nation WHERE n_nationkey % 7 <> 0",
+    "q36_first_file": """SELECT path, length FROM (
+        SELECT 'r=' || n_regionkey || '/n-' || n_nationkey || x AS path, CASE x WHEN '-jb-1-Index.db' THEN length('i' || n_nationkey) WHEN '-jb-1-Data.db' THEN CASE WHEN n_nationkey % 7 = 0 THEN 0 ELSE length(n_name) END ELSE length(n_name) END AS length
+        FROM nation, (VALUES ('-jb-1-Data.db'), ('-jb-1-Index.db'), ('.idx-jb-2-Data.db')) t(x)) WHERE length > 0 ORDER BY path LIMIT 1""",
+    "q37_manifest": "SELECT DISTINCT trim(url) AS path FROM pages WHERE trim(url) <> ''",
+    "q38_copy": """SELECT 'r=' || n_regionkey || '/n-' || n_nationkey || '-jb-1-' || x AS path, length(text) AS length, text, true AS again_refused FROM (
+        SELECT *, CASE x WHEN 'Index.db' THEN 'i' || n_nationkey ELSE CASE WHEN n_nationkey % 7 = 0 THEN '' ELSE n_name END END AS text FROM nation, (VALUES ('Data.db'), ('Index.db')) t(x)) WHERE text <> ''""",
+    "q39_copy_snappy": "SELECT 'n-' || n_nationkey AS path, length(n_name) * 100 AS length, md5(repeat(n_name, 100)) AS digest FROM nation",
+    "q40_manifest_or_inputs": "SELECT true AS none_refused, true AS both_refused",
+    "q41_comparator_order": """SELECT o_orderkey,
+        row_number() OVER (PARTITION BY o_orderpriority ORDER BY (o_custkey * 7919) % 1000 - 500 DESC, o_orderkey) AS int_place,
+        row_number() OVER (PARTITION BY o_orderpriority ORDER BY (o_orderkey % 400 - 200) * CASE o_orderkey % 3 WHEN 0 THEN 100 WHEN 1 THEN 10 ELSE 1 END, o_orderkey) AS decimal_place,
+        row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_custkey % 50 - 25, o_orderstatus DESC, o_orderkey) AS composite_place FROM orders""",
+    "q42_rendered_order": "SELECT p_brand AS key, string_agg(p_partkey::VARCHAR, ',' ORDER BY p_partkey) AS by_number, string_agg(p_partkey::VARCHAR, ',' ORDER BY p_partkey::VARCHAR) AS by_text FROM part GROUP BY 1",
+    "q43_float_casts": """SELECT c_custkey, c_acctbal AS eight_double, c_acctbal::FLOAT::DOUBLE AS four_double, c_acctbal::FLOAT::DOUBLE AS four_float, c_acctbal::FLOAT::DOUBLE AS eight_float,
+        NULL::DOUBLE AS nothing FROM customer""",
+    "q44_typed_values": """SELECT o_orderkey, epoch_ms(o_orderdate) AS millis, lower(hex(o_orderstatus)) AS blob, (cents // 100) || '.' || lpad((cents % 100)::VARCHAR, 2, '0') AS price,
+        (o_custkey * -1000)::VARCHAR AS thousands, (o_orderkey::HUGEINT * 18446744073709551616)::VARCHAR AS large, (o_orderkey::HUGEINT * -18446744073709551616)::VARCHAR AS large_negative
+        FROM (SELECT *, round(o_totalprice * 100)::BIGINT AS cents FROM orders)""",
+    "q45_paths": """SELECT page_id, 's3n://b/' || url AS old, 'h/s3://' || url AS kept, 'x y+z/' || page_id || '/f' AS below, '/other/' || page_id AS outside,
+        '/base/x%20y+z/' || page_id AS folder, 'f' AS name FROM pages""",
+    "q46_key_branch": "SELECT DISTINCT o_custkey, 1::BIGINT AS branches, true AS in_range FROM orders",
+    "q47_ddl": """SELECT * FROM (VALUES ('one', 'UUIDType', 'UTF8Type', 'v', '', false),
+        ('Two', 'CompositeType(Int32Type,UTF8Type)', 'CompositeType(ReversedType(LongType),UTF8Type)', 'v', '', true),
+        ('three', 'Int32Type', 'CompositeType(UTF8Type)', 'v', '', false),
+        ('four', 'TimeUUIDType', 'CompositeType(TimestampType,UTF8Type)', 'v', 's', true)) t(name, key_type, comparator, regular, static, exportable)""",
+    "q48_export_job": "SELECT c_custkey AS o_custkey, o_orderkey, c_mktsegment AS segment, o_orderstatus, true AS nested_refused FROM customer LEFT JOIN orders ON o_custkey = c_custkey",
+    "q49_snapshot_job": f"""WITH {_E}, size AS (SELECT user_id, sum({_SIZE}) AS size FROM alive GROUP BY 1)
+        SELECT (SELECT count(DISTINCT user_id) FROM e) AS lines, (SELECT count(DISTINCT user_id) FROM e) AS rows_written, (SELECT count(*) FROM size WHERE size > 1500) AS rows_too_big,
+        0::BIGINT AS inputs_in_error, true AS refused, 0::BIGINT AS left_over""",
+    "q50_key_order": "SELECT 0::BIGINT AS out_of_order, count(DISTINCT user_id) AS n_rows FROM events",
+    "q51_typed_ranges": """WITH o AS (SELECT o_custkey, o_orderkey, o_orderkey % 200 - 100 AS number, o_orderkey % 7 AS v FROM orders),
+        cell AS (
+          SELECT o_custkey, number, max(o_orderkey) AS ts, 'int' AS names FROM o GROUP BY o_custkey, number
+          UNION ALL SELECT o_custkey, number, max(o_orderkey), 'composite' FROM o GROUP BY o_custkey, number, v),
+        kept AS (SELECT * FROM cell WHERE NOT (number BETWEEN -20 AND 30 AND ts <= o_custkey * 40 AND EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey)))
+        SELECT o_custkey AS c_custkey, names, way, count(*) AS n_cells, sum(number)::BIGINT AS total FROM kept, (VALUES ('rows'), ('cells')) t(way) GROUP BY ALL""",
+    "q52_stream": _Q10,
+    "q53_refused_casts": "SELECT * FROM (VALUES ('bag', true), ('map', true), ('tuple', true), ('boolean', true), ('datetime', true)) t(kind, refused)",
 }

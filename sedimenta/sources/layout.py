@@ -80,11 +80,30 @@ def _read_cell(f: BinaryIO, name: bytes) -> dict:
     return out
 
 
+class _Bounded:
+    """The next ``left`` bytes of a file."""
+
+    def __init__(self, f: BinaryIO, left: int):
+        self.f, self.left = f, left
+
+    def read(self, n: int) -> bytes:
+        part = self.f.read(min(n, self.left))
+        self.left -= len(part)
+        return part
+
+    def drain(self) -> bool:
+        """Reads what is left; whether all of it was there."""
+        while self.left and self.read(1 << 20):
+            pass
+        return not self.left
+
+
 def read_rows(f: BinaryIO, version: str, length: int | None = None) -> Iterator[dict]:
     """Atoms of the rows that begin within ``length`` bytes.
 
     A row without atoms gives a marker.  An error is raised where it occurs;
-    what came before stands.
+    what came before stands.  Rows are read cell by cell; one whose size says
+    that it ends past ``length`` is refused.
     """
     at = 0
     while length is None or at < length:
@@ -96,16 +115,19 @@ def read_rows(f: BinaryIO, version: str, length: int | None = None) -> Iterator[
         row: dict = {"row_key": key}
         if has_row_size(version):
             size, _, row["row_deleted_at"], count = struct.unpack(">qiqi", _take(f, 24))
-            body = _take(f, size - 16)
             at += 24 + size - 16
-            cells, n, broken = io.BytesIO(body), 0, None
+            if size < 16 or (length is not None and at > length):
+                raise CorruptInput(f"a row of {size} bytes")
+            cells, n, broken = _Bounded(f, size - 16), 0, None
             try:
                 for n in range(1, count + 1):
                     yield row | _read_cell(cells, _short_bytes(cells))
-            except CorruptInput as e:  # the next row's place is known
-                broken = CorruptCell(str(e))
-            if broken is not None:
-                yield row | {"kind": "error", "value": str(broken).encode()}
+            except CorruptInput as e:
+                broken = e
+            if not cells.drain():
+                raise broken or CorruptInput(f"{cells.left} bytes of a row missing")
+            if broken is not None:  # the next row's place is known
+                yield row | {"kind": "error", "value": str(CorruptCell(str(broken))).encode()}
             if not n:
                 yield row | {"kind": "row"}
         else:
@@ -280,23 +302,35 @@ def compressed_file(data: bytes, codec: str, chunk: int = 65536) -> tuple[bytes,
 SNAPPY_MAGIC = b"\x82SNAPPY\x00"
 
 
-def decode_snappy(data: bytes) -> bytes:
-    """A snappy stream (magic, versions, then sized blocks), or one raw block."""
+def snappy_blocks(f: BinaryIO) -> Iterator[bytes]:
+    """Decoded blocks of a snappy stream (magic, versions, then sized blocks),
+    one at a time; a file that is one raw block is that block."""
     codec = pa.Codec("snappy")
-    if len(data) < 16 or not data.startswith(SNAPPY_MAGIC):
-        return codec.decompress(data, _snappy_length(data), asbytes=True)
-    version, _ = struct.unpack(">ii", data[8:16])
+    head = _some(f, 16)
+    if len(head) < 16 or not head.startswith(SNAPPY_MAGIC):
+        data = head + b"".join(iter(lambda: f.read(1 << 20), b""))
+        yield codec.decompress(data, _snappy_length(data), asbytes=True)
+        return
+    version, _ = struct.unpack(">ii", head[8:16])
     if version < 1:
         raise CorruptInput(f"snappy stream of version {version}")
-    at, out = 16, []
-    while at < len(data):
-        (n,) = struct.unpack(">i", data[at : at + 4]) if at + 4 <= len(data) else (-1,)
-        block = data[at + 4 : at + 4 + n]
-        if n < 0 or len(block) < n:
+    while size := _some(f, 4):
+        if len(size) < 4 or (n := struct.unpack(">i", size)[0]) < 0:
             raise CorruptInput("a snappy block is short")
-        out.append(codec.decompress(block, _snappy_length(block), asbytes=True))
-        at += 4 + n
-    return b"".join(out)
+        block = _take(f, n)
+        yield codec.decompress(block, _snappy_length(block), asbytes=True)
+
+
+def _some(f: BinaryIO, n: int) -> bytes:
+    """Up to ``n`` bytes, fewer only at the end."""
+    out = b""
+    while len(out) < n and (part := f.read(n - len(out))):
+        out += part
+    return out
+
+
+def decode_snappy(data: bytes) -> bytes:
+    return b"".join(snappy_blocks(io.BytesIO(data)))
 
 
 def encode_snappy(data: bytes, block: int = 32768) -> bytes:

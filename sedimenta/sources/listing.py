@@ -1,7 +1,8 @@
 """Listings of files as DataFrames: filters, batches, manifests, partitions.
 
 ``binaryFile`` lists with Spark's own distributed listing; the contents are
-not read, as no query asks for them.
+not read, as no query asks for them.  Spark leaves out files of no bytes, so
+listings and copies do too.
 """
 
 from __future__ import annotations

@@ -7,12 +7,19 @@ indexes only, in threads; data is read on executors in Arrow batches.
 
 An input that breaks off gives its rows up to there and one ``error`` atom,
 so a job can count errors against what it allows after writing its output.
+What a store fails to deliver is no such error: the task fails and runs again.
+
+Tasks write below ``_temporary-<job>``; files get their names on commit, and
+the folder goes with what failed attempts left in it.  An overwrite moves the
+new files in before it removes the old.
 """
 
 from __future__ import annotations
 
 import io
+import posixpath
 import re
+import uuid
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -31,7 +38,7 @@ BLOCK = 64 * 1024 * 1024
 COMBINED_BYTES, COMBINED_SPLITS = 104_857_600, 200
 FULL, FUZZ = 0.99, 1.2
 THREADS = 20
-BATCH = 5000
+BATCH, BATCH_BYTES = 5000, 8 << 20
 
 _NEXT_MINUTE = re.compile(r"(.+/-?\d+/)(\d{12})(/.+)")
 _ARROW = pa.schema(
@@ -144,7 +151,7 @@ def read_split(split: Split) -> Iterator[dict]:
                 data = io.BufferedReader(_Raw(f), 1 << 20)
             for atom in layout.read_rows(data, version, split.length):
                 yield atom | {"source_path": split.path}
-    except (layout.CorruptInput, OSError) as e:
+    except layout.CorruptInput as e:
         yield {"kind": "error", "source_path": split.path, "value": str(e).encode()[:500]}
 
 
@@ -180,14 +187,21 @@ class Reader(DataSourceReader):
         return [Combined(g) for g in groups] or [Combined(())]
 
     def read(self, partition):
-        rows: list[dict] = []
+        columns: list[list] = [[] for _ in _ARROW]
+        names, held = _ARROW.names, 0
         for split in partition.splits:
             for atom in read_split(split):
-                rows.append(atom)
-                if len(rows) >= BATCH:
-                    yield pa.RecordBatch.from_pylist(rows, _ARROW)
-                    rows = []
-        yield pa.RecordBatch.from_pylist(rows, _ARROW)
+                for column, name in zip(columns, names):
+                    column.append(atom.get(name))
+                held += len(atom.get("value") or b"") + len(atom.get("name") or b"") + len(atom.get("row_key") or b"")
+                if len(columns[0]) >= BATCH or held >= BATCH_BYTES:
+                    yield _batch(columns)
+                    columns, held = [[] for _ in _ARROW], 0
+        yield _batch(columns)
+
+
+def _batch(columns: list[list]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _ARROW)], schema=_ARROW)
 
 
 @dataclass
@@ -201,7 +215,7 @@ class Writer(DataSourceWriter):
 
     def __init__(self, options: dict, overwrite: bool):
         self.path, self.dataset, self.version = options["path"], options.get("dataset", "keyspace-dataset"), options.get("version", layout.CURRENT)
-        self.overwrite = overwrite
+        self.overwrite, self.job = overwrite, uuid.uuid4().hex
         store, inner = filesystem(self.path)
         info = store.get_file_info(inner)
         if info.type != pafs.FileType.NotFound and not overwrite and store.get_file_info(pafs.FileSelector(inner)):
@@ -213,8 +227,8 @@ class Writer(DataSourceWriter):
         context = TaskContext.get()
         store, inner = filesystem(self.path)
         final = f"{inner}/{self.dataset}-{self.version}-{context.partitionId():010d}-Data.db"
-        temporary = f"{inner}/_temporary-{context.taskAttemptId()}"
-        store.create_dir(inner)
+        temporary = f"{inner}/_temporary-{self.job}/{context.taskAttemptId()}"
+        store.create_dir(f"{inner}/_temporary-{self.job}", recursive=True)
         n = 0
         with store.open_output_stream(temporary) as out:
             for row in iterator:
@@ -229,22 +243,32 @@ class Writer(DataSourceWriter):
             return Written(None, None)
         return Written(temporary, final)
 
+    def _clean(self, store, inner):
+        folder = f"{inner}/_temporary-{self.job}"
+        if store.get_file_info(folder).type == pafs.FileType.Directory:
+            store.delete_dir(folder)
+
     def commit(self, messages):
         store, inner = filesystem(self.path)
         store.create_dir(inner)
-        if self.overwrite:
-            for f in store.get_file_info(pafs.FileSelector(inner)):
-                if f.type == pafs.FileType.File and f.path.endswith("-Data.db"):
-                    store.delete_file(f.path)
-        for m in messages:
-            if m is not None and m.temporary:
-                store.move(m.temporary, m.final)
+        written = {m.final: m.temporary for m in messages if m is not None and m.temporary}
+        old = [f.path for f in store.get_file_info(pafs.FileSelector(inner)) if f.type == pafs.FileType.File and f.path.endswith("-Data.db")] if self.overwrite else []
+        for final, temporary in written.items():
+            replace(store, temporary, final)
+        for path in old:
+            if posixpath.basename(path) not in {posixpath.basename(x) for x in written}:
+                store.delete_file(path)
+        self._clean(store, inner)
 
     def abort(self, messages):
-        store, _ = filesystem(self.path)
-        for m in messages:
-            if m is not None and m.temporary:
-                store.delete_file(m.temporary)
+        self._clean(*filesystem(self.path))
+
+
+def replace(store: pafs.FileSystem, source: str, target: str) -> None:
+    """Moves a file to where another may stand."""
+    if store.get_file_info(target).type == pafs.FileType.File:
+        store.delete_file(target)
+    store.move(source, target)
 
 
 class TableFiles(DataSource):

@@ -34,8 +34,8 @@ def retained(atoms: DataFrame) -> DataFrame:
 class IncrementalCompactor:
     """Merges batches into ``path``; ``state`` and ``snapshot`` read the last version."""
 
-    def __init__(self, spark: SparkSession, path: str, trace_source: bool = False):
-        self.spark, self.path, self.options = spark, path.rstrip("/"), Options(trace_source)
+    def __init__(self, spark: SparkSession, path: str, trace_source: bool = False, name_type: str = "BytesType"):
+        self.spark, self.path, self.options = spark, path.rstrip("/"), Options(trace_source, name_type=name_type)
 
     def _versions(self) -> list[int]:
         jvm = self.spark.sparkContext._jvm

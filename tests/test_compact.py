@@ -67,6 +67,52 @@ def test_trace_keeps_files_apart(spark):
     assert got["k1", "a"][1] == [("a", "old", 1, None), ("b", "x", 3, None)] and got["k3", "b"] == (9, []) and len(got["k2", "a"][1]) == 5
 
 
+
+def test_ranges_by_type(spark):
+    """Bounds compare as their type does: negative integers, composites of unequal length, reversed types."""
+    import struct
+
+    n = lambda x: struct.pack(">i", x)
+    part = lambda b, end=0: struct.pack(">H", len(b)) + b + struct.pack(">b", end)
+    cases = [
+        ("Int32Type", [n(x) for x in (-5, -2, 0, 1, 2)], n(-2), n(1), [n(-5), n(2)]),
+        ("ReversedType(Int32Type)", [n(x) for x in (-5, -2, 0, 1, 2)], n(1), n(-2), [n(2), n(-5)]),
+        ("CompositeType(UTF8Type,UTF8Type)", [part(x) + part(b"v") for x in (b"a", b"bb", b"c", b"aaa", b"d")], part(b"aaa", -1), part(b"c", 1), [part(b"a") + part(b"v"), part(b"d") + part(b"v")]),
+        ("DecimalType", [struct.pack(">i", s) + bytes([u]) for s, u in ((0, 1), (1, 25), (2, 99), (0, 3))], struct.pack(">i", 1) + b"\x0a", struct.pack(">i", 1) + b"\x1a", [struct.pack(">i", 2) + bytes([99]), struct.pack(">i", 0) + b"\3"]),
+    ]
+    for kind, names, low, high, left in cases:
+        atoms = frame(spark, [atom("k", name=x, value="v", ts=1) for x in names] + [atom("k", "rt", name=low, top=high, ts=1)])
+        options = C.Options(name_type=kind)
+        assert [bytes(c["name"]) for c in C.compact(atoms, options).first()["columns"]] == left, kind
+        assert sorted(bytes(r["name"]) for r in C.cells(atoms, options).collect()) == sorted(left), kind
+        first = C.within_size(C.grouped_source(atoms.where("kind = 'live'"), False), 10, kind).where("not too_big").collect()
+        assert len(first) == 1 and bytes(first[0]["name"]) == (left[0] if kind != "CompositeType(UTF8Type,UTF8Type)" else names[0])
+
+
+def test_wide_row_of_many_ranges(spark):
+    """10^5 cells against 10^4 ranges in one row, as a plain sweep has it."""
+    import random
+    import time
+
+    draw = random.Random(1)
+    cells = {k: draw.randrange(1000) for k in range(100_000)}
+    ranges = [(a := draw.randrange(100_000), a + draw.choice([3, 50, 400]), draw.randrange(800)) for _ in range(10_000)]
+    name = F.lpad(F.col("k").cast("string"), 6, "0").cast("binary")
+    nothing = {c: F.lit(None) for c in ("row_deleted_at", "value", "ttl", "local_deletion_time", "ts_last_delete")}
+    base = {"row_key": F.lit("r").cast("binary"), "source_path": F.lit(""), "size": F.lit(1)}
+    live = spark.createDataFrame(list(cells.items()), "k int, ts long").withColumns(base | nothing | {"kind": F.lit("live"), "name": name, "range_max": F.lit(None)})
+    ends = spark.createDataFrame(ranges, "k int, e int, ts long").withColumns(base | nothing | {"kind": F.lit("rt"), "name": name, "range_max": F.lpad(F.col("e").cast("string"), 6, "0").cast("binary")})
+    atoms = live.select(*[F.col(c).cast(t).alias(c) for c, t in (x.split() for x in ATOM.split(", "))]).unionByName(ends.select(*[F.col(c).cast(t).alias(c) for c, t in (x.split() for x in ATOM.split(", "))]))
+    newest = [-1] * 101_000
+    for a, e, ts in ranges:
+        for k in range(a, min(e, 100_999) + 1):
+            newest[k] = max(newest[k], ts)
+    want = [k for k, ts in cells.items() if ts > newest[k]]
+    began = time.time()
+    got = [int(c["name"]) for c in C.compact(atoms).first()["columns"]]
+    assert got == want and time.time() - began < 60
+
+
 def test_size_limit(spark):
     atoms = [atom("k", "row", deleted=1, size=0), *[atom("k", name=f"c{k}", value="v", ts=10 + k, size=10) for k in range(5)], atom("k", "live", name="c2", value="old", ts=0, size=10, deleted=5), atom("k", "row", deleted=3, size=0)]
     got = result(C.compact(frame(spark, atoms), C.Options(max_row_bytes=30)))
@@ -82,6 +128,7 @@ def test_size_limit(spark):
 def test_errors(spark):
     atoms = frame(spark, [*ATOMS, atom("", "error", value="broken")])
     assert C.check_errors(atoms, 1) == 1
+    assert C.counters(atoms).first().asDict() == {"rows_written": len(WANTED), "rows_too_big": 0, "inputs_in_error": 1}
     with pytest.raises(RuntimeError):
         C.check_errors(atoms)
     assert len(C.compact(atoms).collect()) == len(WANTED)
@@ -92,6 +139,8 @@ def test_key_order(spark):
     df = spark.createDataFrame([(k,) for k in keys], "k binary").orderBy(signed_order(F.col("k")))
     assert [bytes(r["k"]) for r in df.collect()] == [b"", b"\x80", b"\xff\x01", b"\x01", b"\x01\x80", b"\x01\x00", b"\x7f"]
     assert in_key_order(C.compact(frame(spark, ATOMS))).count() == len(WANTED)
+    plan = in_key_order(C.compact(frame(spark, ATOMS)), True)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 2  # by name and by row; the order needs no third
 
 
 def test_retained_compacts_alike(spark):

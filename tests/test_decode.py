@@ -70,6 +70,66 @@ def test_render(spark):
     assert values(spark, [name, b"\0\4\0", b""], "binary", D.composite_parts(F.col("x"), 2)) == [([b"\0\0\0\7", b"hi"],), ([None, None],), ([None, None],)]
 
 
+
+def packed(n):
+    return n.to_bytes(n.bit_length() // 8 + 1, "big", signed=True)
+
+
+def test_large_numbers(spark):
+    """Nothing is lost: integers of any length, decimals of any scale."""
+    numbers = [0, -1, 2**119, -(2**119), 10**45 + 7, -(10**45), 2**200 - 1, -(2**200), 256**15, -(256**15)]
+    assert [x[0] for x in values(spark, [packed(n) for n in numbers] + [b""], "binary", D.varint_text(F.col("x")))] == [*map(str, numbers), None]
+    decimals = [(20, 1), (12, 10**29 + 1), (40, -(10**39)), (0, 10**40), (-2, 5), (30, -7), (5000, 3)]
+    got = [x[0] for x in values(spark, [struct.pack(">i", s) + packed(n) for s, n in decimals] + [b"\0\0\0\1"], "binary", D.value_of(F.col("x"), "DecimalType"))]
+    assert got[-1] is None and got[-2] == "3E-5000"
+    for (s, n), text in zip(decimals, got):
+        assert Decimal(text).as_tuple()[1] == Decimal(n).as_tuple()[1] or Decimal(text) == Decimal(n).scaleb(-s)
+        assert Decimal(text) == Decimal((n < 0, tuple(map(int, str(abs(n)))), -s))
+
+
+def ranked(spark, kind, rows):
+    """``rows`` of (what it is worth, bytes) as Spark orders them."""
+    df = spark.createDataFrame([(k, b) for k, (_, b) in enumerate(rows)], "k int, x binary")
+    return [rows[r["k"]][0] for r in df.orderBy(D.sort_value(F.col("x"), kind)).collect()]
+
+
+def test_order_of_types(spark):
+    ints = [5, -3, 0, 2**31 - 1, -(2**31)]
+    for kind, width in (("Int32Type", "i"), ("LongType", "q")):
+        rows = [(n, struct.pack(f">{width}", n)) for n in ints]
+        assert ranked(spark, kind, rows) == sorted(ints) and ranked(spark, f"ReversedType({kind})", rows) == sorted(ints, reverse=True)
+    floats = [0.0, 1.5, -1.5, float("inf"), float("-inf"), 1e300, -1e-300]
+    rows = [(n, struct.pack(">d", n)) for n in floats]
+    assert ranked(spark, "DoubleType", rows) == sorted(floats) and ranked(spark, "ReversedType(DoubleType)", rows) == sorted(floats, reverse=True)
+    large = [0, 1, -1, 127, 128, -128, -129, 255, 256, 10**30, -(10**30), 10**30 + 1, 2**64, -(2**64)]
+    rows = [(n, packed(n)) for n in large]
+    assert ranked(spark, "IntegerType", rows) == sorted(large) and ranked(spark, "ReversedType(IntegerType)", rows) == sorted(large, reverse=True)
+    decimals = [Decimal(x) for x in ("0", "1", "-1", "0.1", "-0.1", "-0.12", "-0.123", "12", "120.5", "-120.5", "1E+3", "999", "-1E+3", "0.099", "1E-30")]
+    rows = [(d, struct.pack(">i", -d.as_tuple()[2]) + packed(int(d.scaleb(-d.as_tuple()[2])))) for d in decimals]
+    assert ranked(spark, "DecimalType", rows) == sorted(decimals) and ranked(spark, "ReversedType(DecimalType)", rows) == sorted(decimals, reverse=True)
+    texts = ["", "a", "ab", "b", "é", "aa"]
+    rows = [(t, t.encode()) for t in texts]
+    assert ranked(spark, "ReversedType(UTF8Type)", rows) == sorted(texts, key=str.encode, reverse=True)
+    times = [uuid.UUID(fields=(low, mid, 0x1000 | high, 0x80, 1, 5)) for low, mid, high in ((1, 2, 3), (2, 1, 3), (0, 0, 4), (9, 9, 0))]
+    assert ranked(spark, "TimeUUIDType", [(u.time, u.bytes) for u in times]) == sorted(u.time for u in times)
+    assert ranked(spark, "ReversedType(TimeUUIDType)", [(u.time, u.bytes) for u in times]) == sorted((u.time for u in times), reverse=True)
+    assert ranked(spark, "Int32Type", [("odd", b"\1"), ("none", b""), (-9, struct.pack(">i", -9))]) == ["none", "odd", -9]
+
+
+def test_order_of_composites(spark):
+    part = lambda b, end=0: struct.pack(">H", len(b)) + b + struct.pack(">b", end)
+    kind = "CompositeType(UTF8Type,ReversedType(Int32Type))"
+    n = lambda x: struct.pack(">i", x)
+    order = [
+        b"\xff\xff" + part(b"") + part(n(1)), part(b"a", -1), part(b"a"), part(b"a") + part(n(5)), part(b"a") + part(n(-5)), part(b"a", 1),
+        part(b"ab"), part(b"ab") + part(n(0)), part(b"ab") + part(n(0)) + part(b"more"), part(b"b"),
+    ]
+    rows = list(enumerate(order))
+    assert ranked(spark, kind, rows[::-1]) == list(range(len(order)))
+    with pytest.raises(ValueError):
+        D.sort_value(F.lit(b""), "ReversedType(CompositeType(UTF8Type))")
+
+
 def test_text_formats(spark):
     assert values(spark, ['a\tb"c\\d\x01'], "string", D.legacy_name(F.col("x"))) == [('a b\\"c\\\\d ',)]
     assert values(spark, [1234567], "long", D.too_large_message(F.col("x"), 1000)) == [("row too large: 1,234,567 bytes - limit 1,000 bytes",)]

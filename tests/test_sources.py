@@ -155,6 +155,49 @@ def test_broken_inputs(spark, tmp_path):
     assert os.path.exists(good)
 
 
+
+def test_reading_is_bounded(tmp_path, monkeypatch):
+    """Rows of absurd sizes are refused, batches are cut by bytes, and a store's fault is no damaged input."""
+    row = bytearray(layout.row_bytes(b"k", NOT_DELETED, some_rows(9)[-1][2] or [{"kind": "live", "name": b"c", "value": b"v", "ts": 1}], "ic"))
+    row[3:11] = struct.pack(">q", 1 << 60)
+    with pytest.raises(layout.CorruptInput, match="a row of"):
+        list(layout.read_rows(io.BytesIO(bytes(row)), "ic", len(row)))
+    with pytest.raises(layout.CorruptInput):
+        list(layout.read_rows(io.BytesIO(bytes(row)), "ic"))
+    cells = [{"kind": "live", "name": f"c{k}".encode(), "value": b"x" * 100_000, "ts": 1} for k in range(200)]
+    path = write(str(tmp_path), "ks-t", [(b"k", NOT_DELETED, cells)], "jb")
+    part = table_files.Combined((table_files.Split(path, 0, os.path.getsize(path)),))
+    batches = list(table_files.Reader({"path": path}).read(part))
+    assert len(batches) >= 3 and sum(b.num_rows for b in batches) == 200
+    with pytest.raises(OSError):
+        list(table_files.read_split(table_files.Split(f"{tmp_path}/gone-jb-1-Data.db", 0, 10)))
+
+
+def test_snappy_streams_by_block():
+    blocks = list(layout.snappy_blocks(io.BytesIO(layout.encode_snappy(b"y" * 1000, 100))))
+    assert [len(b) for b in blocks] == [100] * 10
+    assert b"".join(layout.snappy_blocks(io.BytesIO(layout.compress("SnappyCompressor", b"z" * 50)))) == b"z" * 50
+
+
+def test_one_pass_and_versions(spark, tmp_path):
+    """A snapshot reads its input once; an export refuses two versions; a copy wants one kind of input."""
+    write(f"{tmp_path}/in", "ks-a", some_rows(10), "jb")
+    write(f"{tmp_path}/in", "ks-b", some_rows(10, 2, 300), "ic")
+    plan = []
+    seen = jobs.to_lines
+    try:
+        jobs.to_lines = lambda rows, *a: (plan.append(rows._jdf.queryExecution().optimizedPlan().toString()), seen(rows, *a))[1]
+        assert jobs.snapshot(spark, f"{tmp_path}/in", f"{tmp_path}/out")["inputs_in_error"] == 0
+    finally:
+        jobs.to_lines = seen
+    assert plan[0].count("RelationV2") == 1 and "CollectMetrics" in plan[0]
+    with pytest.raises(Exception, match="several format versions"):
+        jobs.export(spark, f"{tmp_path}/in", "CREATE TABLE t (k int PRIMARY KEY, v int)", f"{tmp_path}/rows")
+    for given in ({}, {"inputs": "/a", "manifest": "/b"}):
+        with pytest.raises(ValueError):
+            jobs.copy(spark, f"{tmp_path}/c", **given)
+
+
 def test_split_cut():
     offsets = list(range(0, 1000, 10))
     assert list(table_files.cut(1000, iter(offsets), 2000)) == [(0, 1000)]
@@ -252,8 +295,14 @@ def test_copy(spark, tmp_path):
     got = copy_files.copy_files(files, f"{tmp_path}/out", base=f"{tmp_path}/in").collect()
     assert sum(r["bytes"] for r in got) == 200_000 + os.path.getsize(tmp_path / "in/b") and (tmp_path / "out/deep/a").read_bytes() == b"x" * 200_000
     assert sorted(os.listdir(tmp_path / "out")) == ["b", "deep"]
-    with pytest.raises(Exception):
-        copy_files.copy_files(files, f"{tmp_path}/out", base=f"{tmp_path}/in").collect()
+    with pytest.raises(FileExistsError):
+        copy_files.copy_files(files, f"{tmp_path}/out", base=f"{tmp_path}/in")
+    twice = copy_files.copy_files(files, f"{tmp_path}/twice", base=f"{tmp_path}/in")
+    assert twice.count() == 2 and twice.count() == 2  # acted on again, as after a lost executor
+    assert sorted(os.listdir(tmp_path / "twice")) == ["b", "deep"]
+    with pytest.raises(Exception):  # no stream: nothing is left behind
+        copy_files.copy_files(files.where(F.col("path").endswith("/a")), f"{tmp_path}/bad", unsnap=True).collect()
+    assert os.listdir(tmp_path / "bad") == []
     copy_files.copy_files(files.where(F.col("path").endswith("/b")), f"{tmp_path}/plain", unsnap=True, overwrite=True).collect()
     assert (tmp_path / "plain/b").read_bytes() == b"hello " * 9000
 
