@@ -69,31 +69,34 @@ def window_hits(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW) -> DataF
     sizes = {r["length"]: r["n"] for r in grams.groupBy("length").agg(F.count("*").alias("n")).collect()}  # n rows at most
     lengths, total = sorted(sizes) or [n], sum(sizes.values())
     words = docs.select("doc_id", F.xxhash64("text").alias("text_key"), tokens(F.col("text")).alias("w"))
-    own = words.select("doc_id", "text_key", F.size("w").cast("long").alias("n_words"), F.lit(1).alias("own"))
-    # Places, not hashes, are exploded: the hash is then compiled code.
-    last = F.size("w") - lengths[0]
-    places = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
-    cut = words.select("doc_id", "text_key", "w", F.explode_outer(places).alias("pos")).where(F.col("pos").isNotNull())
+    # Places, not hashes, are exploded: the hash is then compiled code.  Place -1 is the document itself.
+    places = F.sequence(F.lit(-1), F.greatest(F.size("w") - lengths[0], F.lit(-1)))
+    cut = words.select("doc_id", "text_key", "w", F.explode_outer(places).alias("pos"))
     if len(lengths) > 1:
-        cut = cut.select("*", F.explode(F.array(*[F.lit(k) for k in lengths])).alias("length")).where(F.col("pos") + F.col("length") <= F.size("w"))
+        each = F.explode(F.array(*[F.lit(k) for k in lengths])).alias("length")
+        inside = F.when(F.col("pos") < 0, F.col("length") == lengths[0]).otherwise(F.col("pos") + F.col("length") <= F.size("w"))
+        cut = cut.select("*", each).where(inside)
     else:
         cut = cut.withColumn("length", F.lit(lengths[0]))
+    itself = F.col("pos") < 0
     hashed = _per_length(lengths, F.col("length"), lambda k: F.xxhash64(*gram(F.col("w"), F.col("pos"), k)))
     own_gram = _per_length(lengths, F.col("length"), lambda k: F.concat_ws(" ", *gram(F.col("w"), F.col("pos"), k)))
     cut = cut.select("doc_id", "text_key", "w", "pos", "length", hashed.alias("own_h"))
     probe = grams.select("h", F.col("length").alias("of_length"), "item_id", "gram")
     same = (F.col("own_h") == F.col("h")) & (F.col("length") == F.col("of_length"))
     if total <= MAX_BROADCAST_WINDOWS:  # the words of a place are put together only where the hash hits
-        joined = cut.join(F.broadcast(probe), same).where(own_gram == F.col("gram"))
+        found = cut.join(F.broadcast(probe), same & ~itself, "left").where(itself | (own_gram == F.col("gram")))
+        found = found.select("*", F.size("w").cast("long").alias("n_words"))
     else:  # a shuffled row must not carry its whole text
         bits, n_slots = bitmap(probe, total)
-        near = cut.join(F.broadcast(bits), (_slot(F.col("own_h"), n_slots) == F.col("slot")) & (F.col("bits").bitwiseAND(_bit(F.col("own_h"))) != 0))
+        near = cut.join(F.broadcast(bits), (_slot(F.col("own_h"), n_slots) == F.col("slot")) & (F.col("bits").bitwiseAND(_bit(F.col("own_h"))) != 0) & ~itself)
         near = near.select("doc_id", "text_key", "pos", "length", "own_h", own_gram.alias("own_gram"))
-        joined = near.join(probe, same).where(F.col("own_gram") == F.col("gram"))
-    hits = joined.select("doc_id", "text_key", F.struct(F.col("pos").alias("s"), (F.col("pos") + F.col("length")).alias("e")).alias("span"), "item_id")
+        own = words.select("doc_id", "text_key", F.lit(-1).alias("pos"), F.size("w").cast("long").alias("n_words"))
+        found = near.join(probe, same).where(F.col("own_gram") == F.col("gram")).unionByName(own, allowMissingColumns=True)
+    span = F.when(~itself, F.struct(F.col("pos").alias("s"), (F.col("pos") + F.col("length")).alias("e")))
+    found = found.select("doc_id", "text_key", F.when(itself, 1).alias("own"), F.when(itself, F.col("n_words")).alias("n_words"), span.alias("span"), "item_id")
     return (
-        hits.unionByName(own, allowMissingColumns=True)
-        .groupBy("doc_id", "text_key")
+        found.groupBy("doc_id", "text_key")
         .agg(F.max("n_words").alias("n_words"), F.count("own").alias("rows"), F.array_sort(F.collect_set("span")).alias("spans"), F.collect_set("item_id").alias("items"))
         .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))))
         .drop("copy", "rows")
