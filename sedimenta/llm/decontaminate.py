@@ -84,8 +84,9 @@ def window_hits(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW) -> DataF
     cut = cut.select("doc_id", "text_key", "w", "pos", "length", hashed.alias("own_h"))
     probe = grams.select("h", F.col("length").alias("of_length"), "item_id", "gram")
     same = (F.col("own_h") == F.col("h")) & (F.col("length") == F.col("of_length"))
-    if total <= MAX_BROADCAST_WINDOWS:  # the words of a place are put together only where the hash hits
-        found = cut.join(F.broadcast(probe), same & ~itself, "left").where(itself | (own_gram == F.col("gram")))
+    if total <= MAX_BROADCAST_WINDOWS:
+        # The words of a place are put together only where the hash hits: a null gram on the left ends the test.
+        found = cut.join(F.broadcast(probe), same & ~itself, "left").where(itself | (F.col("gram").isNotNull() & (F.col("gram") == own_gram)))
         found = found.select("*", F.size("w").cast("long").alias("n_words"))
     else:  # a shuffled row must not carry its whole text
         bits, n_slots = bitmap(probe, total)
