@@ -345,7 +345,7 @@ def classes_of(docs: DataFrame, key: str = "doc_id") -> tuple[DataFrame, DataFra
     totals = links.groupBy("id").agg(F.sum("links").alias("n_links"))
     classes = reps.select("id", "copy_of").join(roots, "id", "left").join(totals, "id", "left")
     classes = durable(classes.select("id", F.coalesce("root", "id").alias("root"), "copy_of", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")))
-    least = classes.groupBy("root").agg(F.min("copy_of").alias("class_id"))
+    least = durable(classes.groupBy("root").agg(F.min("copy_of").alias("class_id")))
     return rows.select("doc", "row_a", "row_b", "id"), classes.join(least, "root")
 
 
@@ -371,7 +371,8 @@ def one_of_each_class(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     members = rows.where(F.col("id").isNotNull()).groupBy("id", "doc", "row_a", "row_b").agg(F.count("*").alias("times"))
     members = members.join(classes.select("id", "root"), "id").select("root", "times", F.struct(F.col("doc").isNull().alias("none"), "doc", "row_a", "row_b").alias("of"))
     members = durable(members)
-    first = members.groupBy("root").agg(F.min("of").alias("first"))
+    # Written before it is joined, so that the join may split the rows of a large class.
+    first = durable(members.groupBy("root").agg(F.min("of").alias("first")))
     marked = members.join(first, "root").select((F.col("of") == F.col("first")).alias("stays"), "times", F.col("of.row_a").alias("row_a"), F.col("of.row_b").alias("row_b"))
     marked = durable(marked.where(~F.coalesce("stays", F.lit(True)) | (F.col("times") > 1)))
     a, b = row_hashes(docs)
